@@ -5,7 +5,19 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from hivelens.llm.common import read_table
+from hivelens.llm.common import bucket_of, read_table
+
+
+def op1_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from hivelens.llm.lm_scoring import score_texts
+
+    return score_texts(read_table(spark, sf_dir, "documents"))
+
+
+def op2_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from hivelens.llm.decontamination import find_contamination
+
+    return find_contamination(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
 
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -15,6 +27,22 @@ def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_encode(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, keep_ids=False).drop("text")
 
 
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from hivelens.llm.quality import score_quality, train
+
+    docs = read_table(spark, sf_dir, "documents")
+    model = train(docs, read_table(spark, sf_dir, "labels"))
+    return score_quality(docs, model).select("doc_id", "p_text", "p_meta", "quality_score", "keep")
+
+
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from hivelens.llm.toxicity import score_toxicity, train
+
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = train(docs, read_table(spark, sf_dir, "labels"))
+    return score_toxicity(docs, model).select("doc_id", (bucket_of("doc_id", 3) == 1).alias("held_out"), "score", "predicted")
+
+
 def op6_bitplanes(spark: SparkSession, sf_dir: str) -> DataFrame:
     from hivelens.llm.bitplane import bitplane_digests, write_bitplanes
 
@@ -45,6 +73,6 @@ def op10_transport_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op3_bpe, op6_bitplanes, op7_pii, op9_token_counts, op10_transport_stream)
+    for f in (op1_ppm, op2_decontamination, op3_bpe, op4_quality, op5_toxicity, op6_bitplanes, op7_pii, op9_token_counts, op10_transport_stream)
 }
 ORACLE: dict[str, str] = {}

@@ -35,6 +35,23 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return np.multiply.accumulate(up), np.multiply.accumulate(down)
 
 
+def span_hashes(buf: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """A hash of each span of bytes, by sums of powers; spans are in order and don't overlap."""
+    out = np.empty(len(start), dtype=np.uint64)
+    i = 0
+    while i < len(start):
+        a = start[i]
+        j = max(i + 1, int(np.searchsorted(end, a + _PIECE, "right")))
+        b = end[j - 1]
+        up, down = _powers(1 << max(22, int(b - a).bit_length()))
+        sums = np.zeros(b - a + 1, dtype=np.uint64)
+        np.cumsum(_VALUE[buf[a:b]] * up[: b - a], out=sums[1:])
+        s = start[i:j] - a
+        out[i:j] = mix((sums[end[i:j] - a] - sums[s]) * down[s])
+        i = j
+    return out
+
+
 class Words:
     """Words of a run of texts: hash of each, and of its first `prefix` bytes if asked; doc is the index of its text."""
 
@@ -50,22 +67,8 @@ class Words:
         self.count = np.diff(np.searchsorted(self.start, first))
         self.first = np.concatenate(([0], np.cumsum(self.count)))
         self.doc = np.repeat(np.arange(len(texts)), self.count)
-        self.hash = np.empty(len(self.start), dtype=np.uint64)
-        self.head = np.empty(len(self.start), dtype=np.uint64) if prefix else None
-        i = 0
-        while i < len(self.start):
-            a = self.start[i]
-            j = max(i + 1, int(np.searchsorted(self.end, a + _PIECE, "right")))
-            b = self.end[j - 1]
-            size = 1 << max(22, int(b - a).bit_length())
-            up, down = _powers(size)
-            sums = np.zeros(b - a + 1, dtype=np.uint64)
-            np.cumsum(_VALUE[buf[a:b]] * up[: b - a], out=sums[1:])
-            s, e = self.start[i:j] - a, self.end[i:j] - a
-            self.hash[i:j] = mix((sums[e] - sums[s]) * down[s])
-            if prefix:
-                self.head[i:j] = mix((sums[np.minimum(e, s + prefix)] - sums[s]) * down[s] + np.uint64(prefix))
-            i = j
+        self.hash = span_hashes(buf, self.start, self.end)
+        self.head = span_hashes(buf, self.start, np.minimum(self.end, self.start + prefix)) + np.uint64(prefix) if prefix else None
 
 
 def shingles(word_hash: np.ndarray, width: int) -> np.ndarray:
