@@ -56,6 +56,12 @@ def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii_digest(read_table(spark, sf_dir, "documents"))
 
 
+def op8_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from hivelens.llm.jaccard import similar_components
+
+    return similar_components(read_table(spark, sf_dir, "documents"))
+
+
 def op9_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     from hivelens.llm.token_counts import count_tokens, write_flat
 
@@ -73,6 +79,6 @@ def op10_transport_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_ppm, op2_decontamination, op3_bpe, op4_quality, op5_toxicity, op6_bitplanes, op7_pii, op9_token_counts, op10_transport_stream)
+    for f in (op1_ppm, op2_decontamination, op3_bpe, op4_quality, op5_toxicity, op6_bitplanes, op7_pii, op8_jaccard_join, op9_token_counts, op10_transport_stream)
 }
 ORACLE: dict[str, str] = {}
