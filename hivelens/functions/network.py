@@ -7,6 +7,7 @@ import ipaddress
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 _OCTET = "(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[1-9]?[0-9])"
 IPV4 = rf"^{_OCTET}(?:\.{_OCTET}){{3}}$"
@@ -33,7 +34,7 @@ def cidr_bounds(cidr: str) -> tuple[int, int]:
     return int(net.network_address), int(net.broadcast_address)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(returnType=T.StringType())
 def _canonical(text: pd.Series) -> pd.Series:
     def one(x):
         try:

@@ -7,6 +7,7 @@ import re
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from hivelens.functions.network import is_ipv4
 
@@ -27,7 +28,7 @@ def url_host(url: Column) -> Column:
 def valid_url(url: Column) -> Column:
     """Whether a URL has a known scheme, a host that is a domain or an address, a port that can be one, and no blanks."""
     scheme = F.lower(F.regexp_extract(url, r"^([A-Za-z][A-Za-z0-9+.-]*)://", 1))
-    port = F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?(?:\[[^\]]*\]|[^/?#:]*):([^/?#]*)", 1)
+    port = F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?(?:\[[^\]]*\]|[^/?#:\[]*):([^/?#]*)", 1)
     host = url_host(url)
     port_ok = (port == "") | (port.rlike("^[0-9]{1,5}$") & (F.coalesce(port.try_cast("int"), F.lit(99999)) <= 65535))
     ok = scheme.isin(*SCHEMES) & (valid_domain(host) | is_ipv4(host) | host.startswith("[")) & port_ok & ~url.rlike(r"[\s\x00-\x1f]")
@@ -110,7 +111,10 @@ def plain_lookups(text: str) -> str:
 _JNDI = re.compile(r"\$\{\s*jndi\s*:\s*((?:ldaps?|rmi|dns|iiop|corba|nis|https?)://?[^\s\"'<>}]+)", re.IGNORECASE)
 
 
-@F.pandas_udf("array<struct<url:string,scheme:string,host:string>>")
+_PAYLOADS = T.ArrayType(T.StructType([T.StructField(n, T.StringType()) for n in ("url", "scheme", "host")]))
+
+
+@F.pandas_udf(returnType=_PAYLOADS)
 def _jndi(text: pd.Series) -> pd.Series:
     def one(x):
         found = {}

@@ -19,10 +19,10 @@ def coalesced(intervals: DataFrame, keys: tuple[str, ...] = ()) -> DataFrame:
 def uncounted(windows: DataFrame, counted: DataFrame, keys: tuple[str, ...]) -> DataFrame:
     """Parts of each key's window [start, end) that its counted intervals leave out."""
     solid = coalesced(counted, keys)
-    clipped = windows.withColumnsRenamed({"start": "w_start", "end": "w_end"}).join(solid, list(keys), "left")
+    clipped = windows.withColumnsRenamed({"start": "w_start", "end": "w_end"}).join(solid, list(keys))
     clipped = clipped.select(*keys, "w_start", "w_end", F.greatest("start", "w_start").alias("a"), F.least("end", "w_end").alias("b"))
     cuts = clipped.where("a < b").select(*keys, "a", "b")
-    edges = windows.select(*keys, F.col("start").alias("at"), F.lit(None).cast(windows.schema["start"].dataType).alias("a"), F.col("end").alias("w_end"))
+    edges = windows.select(*keys, F.col("start").alias("at"), F.col("end").alias("w_end"))
     before = Window.partitionBy(*keys, "w_start").orderBy("a")
     gaps = clipped.where("a < b").withColumn("from", F.coalesce(F.lag("b").over(before), "w_start")).select(*keys, F.col("from").alias("start"), F.col("a").alias("end"))
     last = edges.join(cuts.groupBy(*keys).agg(F.max("b").alias("b")), list(keys), "left").select(*keys, F.coalesce("b", "at").alias("start"), F.col("w_end").alias("end"))
