@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hivelens.functions import ids, network, scoring, text
+from hivelens.functions import ids, network, ports, scoring, text
 from hivelens.operators import graph, intervals, joins, rollup, scan, sessions, state
 from hivelens.plans.registry import T, query
 from hivelens.sources.telemetry import events_of, read_table
@@ -471,3 +471,71 @@ def b18_based_on_edges(spark, folder):
 def b19_sightings(spark, folder):
     rows = events_of(spark, folder).groupBy("src_ip", "sensor").agg(F.count("*").alias("events"), F.min("ts").alias("first_seen"), F.max("ts").alias("last_seen"))
     return graph.sighting_table(rows)
+
+
+@query(
+    f"WITH {T}, p(port, name) AS (VALUES " + ", ".join(f"({p}, '{v[0]}')" for p, v in ports.PORTS.items()) + "), d AS (SELECT DISTINCT src_ip, dst_port FROM t WHERE event_id % 4 = 0), "
+    "r AS (SELECT *, row_number() OVER (PARTITION BY src_ip ORDER BY dst_port) AS k, count(*) OVER (PARTITION BY src_ip) AS n FROM d LEFT JOIN p ON dst_port = port) "
+    "SELECT src_ip, string_agg('tcp/' || dst_port || coalesce(' (' || name || ')', ''), ', ' ORDER BY dst_port) || CASE WHEN max(n) > 12 THEN ', … +' || (max(n) - 12) || ' more' ELSE '' END AS ports FROM r WHERE k <= 12 GROUP BY 1"
+)
+def t5_port_summary(spark, folder):
+    rows = events_of(spark, folder).where("event_id % 4 = 0").groupBy("src_ip").agg(F.collect_set("dst_port").alias("p"))
+    return rows.select("src_ip", ports.port_summary(F.col("p")).alias("ports"))
+
+
+@query(
+    f"WITH {T}, p(port, family) AS (VALUES " + ", ".join(f"({p}, '{v[1]}')" for p, v in ports.PORTS.items()) + "), s AS (SELECT src_ip, sensor, count(DISTINCT dst_port) AS n, list_sort(list(DISTINCT family) FILTER (family IS NOT NULL)) AS f "
+    "FROM t LEFT JOIN p ON dst_port = port WHERE event_id % 3 < 2 AND ts < TIMESTAMP '2024-01-08' GROUP BY 1, 2) "
+    "SELECT src_ip, sensor, concat_ws(',', CASE WHEN n = 1 THEN 'scan:single' WHEN n <= 5 THEN 'scan:multi-port' ELSE 'scan:vertical' END, CASE WHEN len(f) > 0 THEN 'target:' || array_to_string(f, ',target:') END, "
+    "CASE WHEN len(f) >= 4 THEN 'recon:broad' END) AS labels FROM s"
+)
+def d16_scan_labels(spark, folder):
+    rows = events_of(spark, folder).where("event_id % 3 < 2 and ts < timestamp_ntz '2024-01-08'").groupBy("src_ip", "sensor").agg(F.collect_set("dst_port").alias("p"))
+    return rows.select("src_ip", "sensor", F.array_join(ports.scan_labels(F.col("p")), ",").alias("labels"))
+
+
+@query(
+    f"WITH {_gap_sql(86400)}, d AS (SELECT *, epoch_us(last_seen) // 1000000 - epoch_us(first_seen) // 1000000 AS sec FROM s) SELECT src_ip, sensor, burst, CASE WHEN sec < 60 THEN sec || 's' WHEN sec < 3600 THEN (sec // 60) || 'm' "
+    "WHEN sec < 86400 THEN (sec // 3600) || 'h' || lpad(CAST(sec % 3600 // 60 AS VARCHAR), 2, '0') || 'm' ELSE (sec // 86400) || 'd' || lpad(CAST(sec % 86400 // 3600 AS VARCHAR), 2, '0') || 'h' END AS span FROM d"
+)
+def d13_session_spans(spark, folder):
+    rows = sessions.gap_sessions(events_of(spark, folder), 86_400)
+    seconds = F.unix_timestamp("last_seen") - F.unix_timestamp("first_seen")
+    return rows.select("src_ip", "sensor", "burst", ports.span_text(seconds).alias("span"))
+
+
+@query(f"WITH {T} SELECT type, count(*) AS n FROM t GROUP BY 1")
+def a12_counts_by_type(spark, folder):
+    return events_of(spark, folder).groupBy("type").agg(F.count("*").alias("n"))
+
+
+@query(
+    f"WITH {T}, s AS (SELECT src_ip, sensor, type, count(*) AS sessions, CAST(sum(dst_port) AS BIGINT) AS events, min(ts) AS first_seen, max(ts) AS last_seen FROM t WHERE type IN ('error', 'view') GROUP BY 1, 2, 3) SELECT * FROM s"
+)
+def a14_refusals(spark, folder):
+    rows = events_of(spark, folder).where(F.col("type").isin("error", "view"))
+    return rows.groupBy("src_ip", "sensor", "type").agg(F.count("*").alias("sessions"), F.sum("dst_port").alias("events"), F.min("ts").alias("first_seen"), F.max("ts").alias("last_seen"))
+
+
+@query("WITH f AS (SELECT lower(split_part(p_name, ' ', -1)) AS family FROM part) SELECT family, count(*) AS n FROM f WHERE regexp_matches(family, '^[a-z][a-z0-9_-]{3,}$') AND length(regexp_replace(family, '[^0-9]', '', 'g')) < 2 GROUP BY 1")
+def s8_family_counts(spark, folder):
+    raw = F.concat(F.lit("Trojan."), F.element_at(F.split("p_name", " "), -1))
+    return read_table(spark, folder, "part").select(text.malware_family(raw).alias("family")).where("family is not null").groupBy("family").agg(F.count("*").alias("n"))
+
+
+@query(f"WITH {T}, n AS (SELECT src_ip, sensor FROM t GROUP BY 1, 2), e AS (SELECT DISTINCT src_ip FROM t WHERE type = 'error' AND value > 100) SELECT src_ip, sensor FROM n WHERE src_ip NOT IN (SELECT src_ip FROM e)")
+def j7_withheld_edges(spark, folder):
+    t = events_of(spark, folder)
+    return t.select("src_ip", "sensor").distinct().join(t.where("type = 'error' and value > 100").select("src_ip").distinct(), "src_ip", "left_anti")
+
+
+@query(f"WITH {T} SELECT src_ip, array_to_string(list_sort(list(DISTINCT type)), ',') AS labels, count(*) AS objects FROM t GROUP BY 1")
+def j8_label_union(spark, folder):
+    t = events_of(spark, folder)
+    union = t.groupBy("src_ip").agg(F.array_join(F.array_sort(F.collect_set("type")), ",").alias("labels"))
+    return t.groupBy("src_ip").agg(F.count("*").alias("objects")).join(union, "src_ip").select("src_ip", "labels", "objects")
+
+
+@query(f"WITH {T} SELECT sensor, type, CAST(ts AS DATE) AS day, count(*) AS events FROM t GROUP BY ROLLUP (sensor, type, CAST(ts AS DATE))")
+def a_rollup_totals(spark, folder):
+    return events_of(spark, folder).withColumn("day", F.to_date("ts")).rollup("sensor", "type", "day").agg(F.count("*").alias("events"))

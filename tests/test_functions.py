@@ -94,3 +94,23 @@ def test_evidence(spark):
     df = spark.createDataFrame(rows, "k string, i boolean, ics struct<write:boolean,snmp_only:boolean,industrial_tier:string,research_scanner:boolean>")
     got = [(r.e.accept, r.e.reason) for r in df.select(scoring.evidence(F.col("k"), F.col("i"), F.col("ics")).alias("e")).collect()]
     assert got == [(True, "sip-fraud"), (False, "sip-no-evidence"), (True, "stub-accept"), (True, "ics-write"), (False, "ics-snmp-only"), (False, "ics-research-scanner"), (False, "ics-handshake-only")]
+
+
+def test_ports_and_payloads(spark):
+    from hivelens.functions import ports
+
+    lists = [[23, 22, 22, None], list(range(1, 15)), []]
+    assert column(spark, lists, ports.port_summary, "array<int>") == ["tcp/22 (SSH), tcp/23 (Telnet)", ", ".join(f"tcp/{i}" for i in range(1, 13)) + ", … +2 more", ""]
+    assert column(spark, [[22], [22, 80, 445, 3306, 99], list(range(1, 8)), []], ports.scan_labels, "array<int>") == [
+        ["scan:single", "target:ssh"], ["scan:multi-port", "target:http", "target:mysql", "target:smb", "target:ssh", "recon:broad"], ["scan:vertical"], [],
+    ]
+    rows = [("GET / HTTP/1.1 zgrab", None), ("get /x HTTP/1.0", None), (None, "16030100"), (None, "5353482d32"), ("zz", "ff"), (None, None), ("Hello", "1603"), ("/bin/BusyBox", None)]
+    df = spark.createDataFrame(rows, "p string, h string")
+    labels = [r.x for r in df.select(ports.payload_label(F.col("p"), F.col("h")).alias("x")).collect()]
+    assert labels == ["scanner:zgrab", "proto:http", "proto:tls", "proto:ssh", None, None, "probe:hello", "botnet:mirai"]
+    assert column(spark, ["get /x HTTP/1.0", "x"], ports.http_request)[0].method == "GET"
+    assert column(spark, [5, 65, 3700, 90_000], ports.span_text, "int") == ["5s", "1m", "1h01m", "1d01h"]
+    assert column(spark, ["root", "b'x'", "é", "", None, "x" * 65], ports.plausible_username) == [True, False, False, False, False, False]
+    name = "TERMSRV/host".encode("utf-16le")
+    blob = bytes(44) + b"\2\0\2\0ab" + b"\x09\0" + len(name).to_bytes(2, "little") + name + bytes(4)
+    assert column(spark, [blob.hex(), blob[:50].hex(), "zz", "", None, (bytes(44) + bytes(4)).hex()], ports.ntlm_target_name) == ["TERMSRV/host", None, None, None, None, None]
