@@ -78,3 +78,10 @@ def active_between(activity: DataFrame, start: str, end: str) -> DataFrame:
 def samples(files: DataFrame) -> DataFrame:
     """Captures of each file content: count, first sensor and size. files: sha256, sensor, ts, size."""
     return files.groupBy("sha256").agg(F.count("*").alias("captures"), F.min_by("sensor", F.struct("ts", "sensor")).alias("first_sensor"), F.min("ts").alias("first_seen"), F.max("ts").alias("last_seen"), F.max("size").alias("size"))
+
+
+def ip_credentials(attempts: DataFrame, most: int = 200) -> DataFrame:
+    """The pairs that an address tried: accepted ones first, then by attempts. attempts: src_ip, username, password, ok."""
+    counted = attempts.groupBy("src_ip", "username", "password").agg(F.count("*").alias("attempts"), F.bool_or("ok").alias("succeeded"))
+    w = Window.partitionBy("src_ip").orderBy(F.desc("succeeded"), F.desc("attempts"), "username", "password")
+    return counted.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= most)

@@ -539,3 +539,13 @@ def j8_label_union(spark, folder):
 @query(f"WITH {T} SELECT sensor, type, CAST(ts AS DATE) AS day, count(*) AS events FROM t GROUP BY ROLLUP (sensor, type, CAST(ts AS DATE))")
 def a_rollup_totals(spark, folder):
     return events_of(spark, folder).withColumn("day", F.to_date("ts")).rollup("sensor", "type", "day").agg(F.count("*").alias("events"))
+
+
+@query(
+    f"WITH {T}, c AS (SELECT src_ip, 'user' || (dst_port % 20) AS username, 'pass' || (event_id % 7) AS password, count(*) AS attempts, bool_or(type = 'signup') AS succeeded FROM t GROUP BY 1, 2, 3), "
+    "r AS (SELECT *, CAST(row_number() OVER (PARTITION BY src_ip ORDER BY succeeded DESC, attempts DESC, username, password) AS INTEGER) AS rank FROM c) SELECT * FROM r WHERE rank <= 20"
+)
+def t2_ip_credentials(spark, folder):
+    rows = events_of(spark, folder)
+    tried = rows.select("src_ip", F.concat(F.lit("user"), F.col("dst_port") % 20).alias("username"), F.concat(F.lit("pass"), F.col("event_id") % 7).alias("password"), (F.col("type") == "signup").alias("ok"))
+    return rollup.ip_credentials(tried, 20)

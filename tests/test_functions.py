@@ -114,3 +114,18 @@ def test_ports_and_payloads(spark):
     name = "TERMSRV/host".encode("utf-16le")
     blob = bytes(44) + b"\2\0\2\0ab" + b"\x09\0" + len(name).to_bytes(2, "little") + name + bytes(4)
     assert column(spark, [blob.hex(), blob[:50].hex(), "zz", "", None, (bytes(44) + bytes(4)).hex()], ports.ntlm_target_name) == ["TERMSRV/host", None, None, None, None, None]
+
+
+def test_web_signs(spark):
+    from hivelens.functions import web
+
+    rows = [("/.env", None, "curl"), ("/a/../b", "x=eval (1)", "sqlmap/1.0"), ("/ok", None, None)]
+    df = spark.createDataFrame(rows, "path string, body string, agent string")
+    got = df.select(web.exploit_hints(F.col("path"), F.col("body"), F.col("agent")).alias("h"), web.scanner_agent(F.col("agent")).alias("a")).collect()
+    assert [[web.EXPLOIT_HINTS[i] for i in r.h] for r in got] == [[web.EXPLOIT_HINTS[0]], [r"(?i)eval\s*\(", r"\.\./"], []] and [r.a for r in got] == [None, "sqlmap", None]
+    bodies = [("user=a%20b&pass=c+d&x=1", "POST"), ('{"User":"u","data":{"pwd":"p","email":"e"}}', "POST"), ("user=a&pass=b", "get"), ("junk", "POST"), (None, "POST"), ("{bad", "PUT"), ("user=&pass=x", "POST")]
+    pairs = spark.createDataFrame(bodies, "b string, m string").select(web.body_credentials(F.col("b"), F.col("m")).alias("c")).collect()
+    assert [[tuple(x) for x in r.c] for r in pairs] == [[("a b", "c d")], [("u", "p"), ("e", "p")], [], [], [], [], []]
+    assert column(spark, ["tcp_test x", "<HOST> <key> webvpn", "webvpn", None], web.firewall_cve) == ["CVE-2018-0101"] * 2 + [None] * 2
+    assert column(spark, ["XSS", "sqli", "index", None], web.attack_technique) == ["T1189", "T1190", None, None]
+    assert column(spark, ["mail FROM:<a>", " ", "QUIT"], web.mail_verb) == ["MAIL", "", "QUIT"]
