@@ -28,9 +28,9 @@ START, END = b"\xfe", b"\xff"
 #: Entries of the trie that are broadcast at most (16 bytes each). Beyond it the deepest level goes, as often as needed:
 #: two bytes of context have at most 2 ** 24 entries.
 MOST_ENTRIES = 6_000_000
-BLOCK_BYTES = 12 << 20
+BLOCK_BYTES = 8 << 20
 LEAST_BLOCKS = 64
-_PIECE = 1 << 21
+_PIECE = 1 << 19
 #: Key of the token that ends a text; words' keys are hashes.
 _END_KEY = -1
 
@@ -136,10 +136,10 @@ def count_contexts(texts: DataFrame, order: int = ORDER) -> DataFrame:
                 codes.append(kinds)
                 counts.append(np.bincount(inverse, minlength=len(kinds)))
                 waiting += len(kinds)
-                if waiting > 1 << 21:
+                if waiting > 1 << 20:
                     a, b = _summed(np.concatenate(codes), np.concatenate(counts))
                     codes, counts, waiting = [a], [b], 0
-                    if len(a) > 1 << 20:
+                    if len(a) > 1 << 19:
                         yield pa.RecordBatch.from_pydict({"code": a, "n": b})
                         codes, counts = [], []
         if codes:

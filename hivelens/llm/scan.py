@@ -10,7 +10,7 @@ import numpy as np
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 _RADIX = np.uint64(0x9E3779B97F4A7C15)
-_PIECE = 1 << 22
+_PIECE = 1 << 20
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -43,7 +43,7 @@ def span_hashes(buf: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarr
         a = start[i]
         j = max(i + 1, int(np.searchsorted(end, a + _PIECE, "right")))
         b = end[j - 1]
-        up, down = _powers(1 << max(22, int(b - a).bit_length()))
+        up, down = _powers(1 << max(20, int(b - a).bit_length()))
         sums = np.zeros(b - a + 1, dtype=np.uint64)
         np.cumsum(_VALUE[buf[a:b]] * up[: b - a], out=sums[1:])
         s = start[i:j] - a
