@@ -3,8 +3,8 @@
 Shingles are ordered rare first: by a count sketch of fixed size over all documents, then by hash. Two sets that reach
 the threshold share a shingle among the first |x| - ceil(t |x|) + 1 of each, so only these prefixes are joined.
 
-Pairs are not made all against all within a shingle's list of documents. In a round the first document of each list,
-its pivot, is paired with the others that aren't yet in its component and that pass the length and positional filters;
+Pairs are not made all against all within a shingle's list of documents. In a round the first documents of each list,
+its pivots, are paired with the others that aren't yet in their component and that pass the length and positional filters;
 each pair is verified once, with a suffix filter before the exact count. Then components are worked out anew, lists
 that lie in one component are closed, and pivots, being compared with their whole list, leave it. Once the pairs left in
 all open lists are few, they are all verified. No link is lost: a pair in one list is either compared, ruled out by a
@@ -17,19 +17,22 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hivelens.llm.common import ship_package, stage_table, texts_of, whole_text
 from hivelens.llm.scan import Words, mix, shingles
 
 #: Counters of the sketch, and of each part in which tasks hand theirs on.
-SKETCH, PART = 1 << 18, 1 << 14
+SKETCH, PART = 1 << 22, 1 << 15
 #: Document keys that are broadcast at most (8 bytes each); with more, texts are fetched by a shuffled join.
 MOST_BROADCAST = 2_000_000
-#: Pairs in open lists, as a multiple of the lists' rows, up to which all are verified at once.
+#: Pairs in open lists, as a multiple of all lists' rows, up to which all are verified at once.
 FEW_PAIRS = 8
+#: Documents of a list that are compared with the whole list in a round before that.
+PIVOTS = 16
 
 
 def _groups(batch: pa.RecordBatch, size: int = 1 << 21) -> Iterator[tuple[int, list[bytes]]]:
@@ -59,13 +62,17 @@ def _ranks(s: np.ndarray, sketch: np.ndarray) -> np.ndarray:
     return count << np.uint64(40) | s >> np.uint64(24)
 
 
+def _packed(counts: np.ndarray) -> bytes:
+    return zstandard.ZstdCompressor(level=1).compress(np.minimum(counts, 0xFFFFFFFF).astype("<u4").tobytes())
+
+
 def _sum_parts(df: DataFrame, *keys: str) -> DataFrame:
     def run(t: pa.Table) -> pa.Table:
-        total = np.zeros(PART, dtype=np.int64)
+        total, unpack = np.zeros(PART, dtype=np.int64), zstandard.ZstdDecompressor()
         for c in t["counts"]:
-            total += np.frombuffer(c.as_buffer(), dtype="<u4")
+            total += np.frombuffer(unpack.decompress(c.as_py()), dtype="<u4")
         row = {k: t[k][:1] for k in keys}
-        return pa.table(row | {"counts": pa.array([np.minimum(total, 0xFFFFFFFF).astype("<u4").tobytes()], pa.binary())})
+        return pa.table(row | {"counts": pa.array([_packed(total)], pa.binary())})
 
     return df.groupBy(*keys).applyInArrow(run, ", ".join(f"{k} int" for k in keys) + ", counts binary")
 
@@ -90,11 +97,12 @@ def similar_components(docs: DataFrame, width: int = 5, percent: int = 75, few_p
             for i, texts in _groups(batch):
                 sets = _sets(texts, width)
                 n = len(sets)
-                sketch += np.bincount((np.concatenate(sets) & np.uint64(SKETCH - 1)).astype(np.int64), minlength=SKETCH)
+                at, more = np.unique((np.concatenate(sets) & np.uint64(SKETCH - 1)).astype(np.int64), return_counts=True)
+                sketch[at] += more
                 cols = [pa.array(ids[i : i + n], pa.int64()), pa.array(map(len, sets), pa.int64()), pa.array(map(_node, sets), pa.int64()), *(pa.nulls(n, t) for t in list(empty.values())[3:])]
                 yield pa.RecordBatch.from_arrays(cols, list(empty))
         parts = [k for k in range(SKETCH // PART) if sketch[k * PART : (k + 1) * PART].any()]
-        counts = [np.minimum(sketch[k * PART : (k + 1) * PART], 0xFFFFFFFF).astype("<u4").tobytes() for k in parts]
+        counts = [_packed(sketch[k * PART : (k + 1) * PART]) for k in parts]
         cols = [*(pa.nulls(len(parts), t) for t in list(empty.values())[:3]), pa.array(parts, pa.int32()), pa.array([task // 256] * len(parts), pa.int32()), pa.array(counts, pa.binary())]
         yield pa.RecordBatch.from_arrays(cols, list(empty))
 
@@ -102,7 +110,7 @@ def similar_components(docs: DataFrame, width: int = 5, percent: int = 75, few_p
     sketch = np.zeros(SKETCH, dtype=np.uint32)
     bundles = _sum_parts(seen.where("part is not null").select("part", "bundle", "counts"), "part", "bundle")
     for r in _sum_parts(bundles, "part").collect():  # SKETCH counters in all
-        sketch[r["part"] * PART : (r["part"] + 1) * PART] = np.frombuffer(r["counts"], dtype="<u4")
+        sketch[r["part"] * PART : (r["part"] + 1) * PART] = np.frombuffer(zstandard.ZstdDecompressor().decompress(r["counts"]), dtype="<u4")
     shared = spark.sparkContext.broadcast(sketch)
     known = seen.where("part is null").select("doc_id", "n", "node")
     filled = known.where("n > 0 and doc_id is not null")
@@ -130,13 +138,14 @@ def similar_components(docs: DataFrame, width: int = 5, percent: int = 75, few_p
     # Lists of the same documents say the same: the first of their shingles stands for them.
     lists = met.groupBy("token").agg(F.min(F.struct("node", "pos")).alias("a"), F.max("node").alias("b"), F.sum(F.xxhash64("node").cast("decimal(20,0)")).alias("key"))
     lists = lists.where("a.node <> b").groupBy("a.node", "b", "key").agg(F.min(F.struct("a.pos", "token")).alias("t")).select("t.token")
+    enough = few_pairs * met.count()
     open_ = stage_table(met.join(lists, "token").groupBy("token", "node").agg(F.max("size").alias("size"), F.min("pos").alias("pos")), "lists")
 
     def filters(x: str, y: str) -> Column:
-        low, high = F.least(f"{x}size", f"{y}size"), F.greatest(f"{x}size", f"{y}size")
-        rest = F.least(F.col(f"{x}size") - F.col(f"{x}pos") - 1, F.col(f"{y}size") - F.col(f"{y}pos") - 1)
-        reach = F.least(f"{x}pos", f"{y}pos") + 1 + rest
-        return (100 * low.cast("long") >= percent * high.cast("long")) & ((100 + percent) * reach.cast("long") >= percent * (low + high).cast("long"))
+        """Length and positional filter: with an overlap that suffices, the first shared shingle stands early enough in both."""
+        n, m = F.col(f"{x}size").cast("long"), F.col(f"{y}size").cast("long")
+        least = F.floor((percent * (n + m) + 99 + percent) / (100 + percent))
+        return (F.col(f"{x}pos") <= n - least) & (F.col(f"{y}pos") <= m - least)
 
     def texts_for(pairs: DataFrame) -> DataFrame:
         nodes = pairs.select(F.explode(F.array("x", "y")).alias("node")).distinct()
@@ -178,17 +187,19 @@ def similar_components(docs: DataFrame, width: int = 5, percent: int = 75, few_p
             lists = open_.join(components, "node", "left").select("token", "node", "size", "pos", F.coalesce("comp", "node").alias("comp"))
             state = lists.groupBy("token").agg(F.min("comp").alias("a"), F.max("comp").alias("b")).where("a <> b").select("token")
             lists = stage_table(lists.join(state, "token"), "lists")
-        counted = lists.groupBy("token").agg(F.count("*").alias("c")).agg(F.sum("c").alias("rows"), F.sum(F.expr("c * (c - 1) / 2")).alias("pairs")).first()
+        per = lists.groupBy("token", "comp").agg(F.count("*").alias("c")).groupBy("token").agg(F.sum("c").alias("n"), F.max(F.struct("c", "comp")).alias("most"))
+        counted = per.agg(F.sum("n").alias("rows"), F.sum(F.expr("n * (n - most.c)")).alias("pairs")).first()
         if not counted["rows"]:
             break
-        final = not first_round and counted["pairs"] <= few_pairs * open_.count()
-        pivots = lists.groupBy("token").agg(F.min(F.struct("node", "size", "pos", "comp")).alias("p")) if not final else lists
-        if final:
-            other = lists.select("token", *[F.col(c).alias(f"p_{c}") for c in ("node", "size", "pos", "comp")])
+        final = not first_round and counted["pairs"] <= enough
+        if final:  # of two documents in different components, one isn't in the list's largest
+            pivots = lists.join(per.select("token", F.col("most.comp").alias("largest")), "token").where("comp <> largest").drop("largest")
         else:
-            other = pivots.select("token", *[F.col(f"p.{c}").alias(f"p_{c}") for c in ("node", "size", "pos", "comp")])
-        pairs = lists.join(other, "token").where("p_node < node and p_comp <> comp").where(filters("", "p_"))
-        pairs = pairs.groupBy(F.col("p_node").alias("x"), F.col("node").alias("y")).agg(F.lit(1).alias("one")).drop("one")
+            rank = F.row_number().over(Window.partitionBy("token").orderBy("node"))
+            pivots = lists.withColumn("rank", rank).where(F.col("rank") <= (1 if first_round else PIVOTS))
+        other = pivots.select("token", *[F.col(c).alias(f"p_{c}") for c in ("node", "size", "pos", "comp")])
+        pairs = lists.join(other, "token").where("p_node <> node and p_comp <> comp").where(filters("", "p_"))
+        pairs = pairs.groupBy(F.least("p_node", "node").alias("x"), F.greatest("p_node", "node").alias("y")).agg(F.lit(1).alias("one")).drop("one")
         if compared is not None:
             pairs = pairs.join(compared, ["x", "y"], "left_anti")
         pairs = stage_table(pairs, "pairs")
@@ -201,7 +212,7 @@ def similar_components(docs: DataFrame, width: int = 5, percent: int = 75, few_p
         components = connected(links)
         if final:
             break
-        open_ = stage_table(lists.join(pivots.select("token", F.col("p.node").alias("node")), ["token", "node"], "left_anti").select("token", "node", "size", "pos"), "open")
+        open_ = stage_table(lists.join(pivots.select("token", "node"), ["token", "node"], "left_anti").select("token", "node", "size", "pos"), "open")
         first_round = False
     if components is None:
         labels = holders.select("node", F.col("doc_id").alias("component_id"))
