@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import re
+from array import array
 from functools import lru_cache
 from urllib.parse import urlparse
 
@@ -12,39 +13,57 @@ import pyarrow.fs as pafs
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
-#: Signs that Python takes for white space and the tokenizer doesn't; texts with them go to it whole.
-_ODD = re.compile("[\x1c-\x1f]")
+#: Signs that Python takes for white space and the tokenizer doesn't, and the brackets of its special tokens; texts with
+#: them go to it whole.
+_WHOLE = re.compile("[\x1c-\x1f]|<\\|")
+_MARKS = ".,!?;:"
+_MARKED = re.compile(f"[a-zà-öø-ÿ]+[{_MARKS}]")
 #: Words that a worker remembers with their ids.
-MEMO = 300_000
+MEMO = 1_000_000
 
 
 class WordEncoder:
     """Ids of whole texts by a tokenizer whose normaliser and splitter treat words between white space on their own.
 
-    Words are encoded once and remembered (up to MEMO of them); the rest go to the library each time.
+    Words are encoded once and remembered (up to MEMO of them); the rest go to the library each time. The tokenizer
+    lowers case itself, so A-Z are lowered before, and a mark after a word is a token run of its own.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.memo: dict[str, np.ndarray] = {}
+        self.memo: dict[str, bytes] = {}
+        self.marks = dict(zip(_MARKS, self._encode(list(_MARKS))))
+
+    def _encode(self, words: list[str]) -> list[bytes]:
+        return [array("I", e.ids).tobytes() for i in range(0, len(words), 4096) for e in self.tokenizer.encode_batch_fast(words[i : i + 4096], add_special_tokens=False)]
 
     def encode_texts(self, texts: list[str]) -> list[np.ndarray]:
-        memo, none, out, later = self.memo, np.zeros(0, dtype=np.uint32), [], {}
-        lists = [[t] if _ODD.search(t) else t.split() for t in texts]
-        for words in lists:
-            for w in words:
-                if w not in memo:
-                    later[w] = None
+        memo, marks, later = self.memo, self.marks, {}
+        lists = [[t] if _WHOLE.search(t) else t.encode().lower().decode().split() for t in texts]
+        found = [list(map(memo.get, words)) for words in lists]
+        for words, parts in zip(lists, found):
+            if None in parts:
+                for w, part in zip(words, parts):
+                    if part is None:
+                        core = w[:-1] if _MARKED.fullmatch(w) else w
+                        if core not in memo:
+                            later[core] = None
         unknown = list(later)
-        for i in range(0, len(unknown), 4096):
-            part = unknown[i : i + 4096]
-            for w, e in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-                later[w] = np.array(e.ids, dtype=np.uint32)
-        for words in lists:
-            parts = [later[w] if (ids := memo.get(w)) is None else ids for w in words]
-            out.append(np.concatenate(parts) if parts else none)
+        later.update(zip(unknown, self._encode(unknown)))
+        out = []
+        for words, parts in zip(lists, found):
+            if None in parts:
+                for i, part in enumerate(parts):
+                    if part is None:
+                        w = words[i]
+                        if _MARKED.fullmatch(w):
+                            core = w[:-1]
+                            parts[i] = (memo[core] if core in memo else later[core]) + marks[w[-1]]
+                        else:
+                            parts[i] = later[w]
+            out.append(np.frombuffer(b"".join(parts), dtype="<u4"))
         room = MEMO - len(memo)
         if room > 0:
             memo.update((w, later[w]) for w in unknown[:room] if len(w) < 64)
