@@ -11,11 +11,12 @@ training, and a text's score is the sum of the log10 probabilities of its bytes
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -25,9 +26,11 @@ from hivelens.llm.scan import Words
 ORDER = 5
 #: Neither byte occurs in UTF-8: contexts before a text's first byte, and the symbol of its end.
 START, END = b"\xfe", b"\xff"
-#: Entries of the trie that are broadcast at most (16 bytes each). Beyond it the deepest level goes, as often as needed:
-#: two bytes of context have at most 2 ** 24 entries.
-MOST_ENTRIES = 6_000_000
+#: Entries of the trie that are broadcast whole at most (16 bytes each). A larger trie is dealt into shards, with equal scores.
+MOST_BROADCAST = 6_000_000
+#: Context bytes of the levels that all shards share: at most 2 ** 24 entries.
+SHARED_ORDER = 2
+SHARD_ENTRIES = 1 << 20
 BLOCK_BYTES = 8 << 20
 LEAST_BLOCKS = 64
 _PIECE = 1 << 19
@@ -57,12 +60,17 @@ def context_codes(texts: list[bytes], order: int = ORDER) -> Iterator[tuple[int,
 
 
 class Trie:
-    """The model: for each context length the known (context, symbol) codes and the sums that coding needs."""
+    """The model: for each context length the known (context, symbol) codes and the sums that coding needs.
 
-    def __init__(self, codes: np.ndarray, counts: np.ndarray, order: int = ORDER):
+    With a base, which has the shorter contexts of all texts, codes may be those of some contexts only: all codes that
+    share their last base.order + 1 context bytes.
+    """
+
+    def __init__(self, codes: np.ndarray, counts: np.ndarray, order: int = ORDER, base: Trie | None = None):
         self.order = order
+        least = 0 if base is None else base.order + 1
         levels = []
-        for k in range(order, -1, -1):
+        for k in range(order, least - 1, -1):
             if k < order:
                 codes, counts = _summed(codes & ((1 << 8 * (k + 1)) - 1), counts)
             else:
@@ -70,13 +78,14 @@ class Trie:
             context = codes >> 8
             first = np.flatnonzero(np.diff(context, prepend=-1)) if len(codes) else np.zeros(0, dtype=np.int64)
             levels.append([codes, counts, context[first], np.add.reduceat(counts, first) if len(first) else counts, np.diff(np.append(first, len(codes))), first])
-        self.levels = levels[::-1]
-        for k in range(order, 0, -1):
+        self.levels = ([] if base is None else base.levels) + levels[::-1]
+        for k in range(order, max(least, 1) - 1, -1):
             codes, first = self.levels[k][0], self.levels[k][5]
             shorter, their = self.levels[k - 1][0], self.levels[k - 1][1]
             seen = their[np.searchsorted(shorter, codes & ((1 << 8 * k) - 1))] if len(codes) else their
             self.levels[k][5] = np.add.reduceat(seen, first) if len(first) else seen
-        self.levels[0][5] = np.zeros(len(self.levels[0][2]), dtype=np.int64)
+        if base is None:
+            self.levels[0][5] = np.zeros(len(self.levels[0][2]), dtype=np.int64)
 
     def log10(self, code: np.ndarray) -> np.ndarray:
         """log10 probability of each coded symbol."""
@@ -103,13 +112,15 @@ class Trie:
         out[left] -= np.log10(np.maximum(1, 256 - symbols))
         return out
 
-    def score(self, texts: list[bytes]) -> np.ndarray:
-        out = np.zeros(len(texts))
-        for i, doc, code in context_codes(texts, self.order):
-            inverse, kinds = pd.factorize(code)
-            sums = np.bincount(doc, weights=self.log10(kinds)[inverse])
-            out[i : i + len(sums)] += sums
-        return out
+
+def text_scores(texts: list[bytes], order: int, log10: Callable[[np.ndarray], np.ndarray]) -> np.ndarray:
+    """Sums of the log10 probabilities of each text's symbols."""
+    out = np.zeros(len(texts))
+    for i, doc, code in context_codes(texts, order):
+        inverse, kinds = pd.factorize(code)
+        sums = np.bincount(doc, weights=log10(kinds)[inverse])
+        out[i : i + len(sums)] += sums
+    return out
 
 
 def _find(keys: np.ndarray, wanted: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -149,16 +160,52 @@ def count_contexts(texts: DataFrame, order: int = ORDER) -> DataFrame:
     return texts.select("text").mapInArrow(run, "code long, n long").groupBy("code").agg(F.sum("n").alias("n"))
 
 
-def train(texts: DataFrame, order: int = ORDER, most_entries: int = MOST_ENTRIES) -> Trie:
-    """The model of all texts of a frame, its order lowered only if its trie has more than most_entries entries."""
-    counts = stage_table(count_contexts(texts, order), "contexts")
-    while (n := counts.count()) > most_entries and order > 2:
-        order -= 1
-        counts = stage_table(counts.groupBy((F.col("code").bitwiseAND((1 << 8 * (order + 1)) - 1)).alias("code")).agg(F.sum("n").alias("n")), "contexts")
-    table = counts.toArrow() if n else pa.table({"code": pa.array([], pa.int64()), "n": pa.array([], pa.int64())})
+def _lowered(counts: DataFrame, order: int) -> DataFrame:
+    """Counts of all contexts cut to their last `order` bytes."""
+    return counts.groupBy((F.col("code").bitwiseAND((1 << 8 * (order + 1)) - 1)).alias("code")).agg(F.sum("n").alias("n"))
+
+
+def _trie(counts: DataFrame, order: int) -> Trie:
+    table = counts.toArrow()
     return Trie(table["code"].to_numpy(), table["n"].to_numpy(), order)
 
 
+def _block_codes(dealt: DataFrame, order: int) -> DataFrame:
+    """(block, code): the distinct codes of each block's texts."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: dict[int, list[np.ndarray]] = {}
+        for batch in batches:
+            block, texts = batch.column("block").to_numpy(), texts_of(batch)
+            for b in np.unique(block):
+                mine = found.setdefault(int(b), [])
+                for _, _, code in context_codes([texts[i] for i in np.flatnonzero(block == b)], order):
+                    mine.append(pd.unique(code))
+                    if sum(map(len, mine)) > max(1 << 20, 2 * len(mine[0])):
+                        mine[:] = [np.unique(np.concatenate(mine))]
+        for b, parts in found.items():
+            codes = np.unique(np.concatenate(parts))
+            for i in range(0, len(codes), _PIECE):
+                some = codes[i : i + _PIECE]
+                yield pa.RecordBatch.from_pydict({"block": np.full(len(some), b, dtype=np.int32), "code": some})
+
+    return dealt.select("block", "text").mapInArrow(run, "block int, code long")
+
+
+def _sharded_logs(counts: DataFrame, wanted: DataFrame, order: int, shards: int) -> DataFrame:
+    """(block, key, log): log10 probabilities of each block's codes, by shards of the trie that hold whole contexts."""
+    shared = counts.sparkSession.sparkContext.broadcast(_trie(_lowered(counts, SHARED_ORDER), SHARED_ORDER))
+    context = F.shiftright("code", 8).bitwiseAND((1 << 8 * (SHARED_ORDER + 1)) - 1)
+    dealt = lambda df: df.withColumn("shard", F.pmod(F.xxhash64(context), F.lit(shards)).cast("int")).groupBy("shard")
+
+    def price(left: pa.Table, right: pa.Table) -> pa.Table:
+        inverse, kinds = pd.factorize(left["code"].to_numpy())
+        model = Trie(right["code"].to_numpy(), right["n"].to_numpy(), order, shared.value)
+        return pa.table({"block": left["block"], "key": left["code"], "log": model.log10(kinds)[inverse]})
+
+    return dealt(wanted).cogroup(dealt(counts)).applyInArrow(price, "block int, key long, log double")
+
+
 def _word_keys(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """Keys of all words of texts, none of them that of the end, and words before each text."""
     words = Words(texts)
@@ -166,7 +213,7 @@ def _word_keys(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return np.where(keys == _END_KEY, 0, keys), words.first
 
 
-def score_texts(docs: DataFrame, modulus: int = 7, held_out: int = 2, order: int = ORDER, most_entries: int = MOST_ENTRIES) -> DataFrame:
+def score_texts(docs: DataFrame, modulus: int = 7, held_out: int = 2, order: int = ORDER, most_entries: int | None = None, most_broadcast: int = MOST_BROADCAST) -> DataFrame:
     """PPM score and unigram base score of each whole text; training rows are those whose crc32(doc_id) mod modulus isn't held_out.
 
     Returns doc_id, held_out, n_tokens (words and one end), n_known (seen in training), train_tokens, base_score (sum of
@@ -175,12 +222,21 @@ def score_texts(docs: DataFrame, modulus: int = 7, held_out: int = 2, order: int
     and return each time; other columns are ignored. Without training rows all symbols are equally likely. An empty table
     gives an empty table. Words are compared by 64-bit hashes. Documents are dealt into blocks by a hash of their id; a
     block's distinct words are counted once and their totals come back to it, so no task holds the whole vocabulary.
+    A trie of more than most_broadcast entries isn't broadcast: its shards meet the distinct codes of the blocks in a
+    shuffle, and their probabilities come back as the words' totals do. Only a caller that gives most_entries gets a lower
+    order (two at least) for a larger trie.
     """
     spark = docs.sparkSession
     ship_package(spark)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text"), (bucket_of("doc_id", modulus) == held_out).alias("held_out"))
-    model = train(rows.where("not held_out"), order, most_entries)
-    shared = spark.sparkContext.broadcast(model)
+    counts = stage_table(count_contexts(rows.where("not held_out"), order), "contexts")
+    entries = counts.count()
+    while most_entries is not None and entries > most_entries and order > 2:
+        order -= 1
+        counts = stage_table(_lowered(counts, order), "contexts")
+        entries = counts.count()
+    sharded = entries > most_broadcast and order > SHARED_ORDER
+    shared = None if sharded else spark.sparkContext.broadcast(_trie(counts, order))
     blocks = max(LEAST_BLOCKS, math.ceil(total_bytes(rows) / BLOCK_BYTES))
     dealt = rows.withColumn("block", F.pmod(F.xxhash64("doc_id", F.length("text")), F.lit(blocks)).cast("int")).repartition(blocks, "block")
 
@@ -206,8 +262,18 @@ def score_texts(docs: DataFrame, modulus: int = 7, held_out: int = 2, order: int
     own = dealt.mapInArrow(count_words, "block int, key long, n long")
     by_key = Window.partitionBy("key")
     known = own.select("block", "key", "n", F.sum("n").over(by_key).alias("c"), (F.min(F.when(F.col("n") > 0, F.col("block"))).over(by_key) == F.col("block")).alias("first"))
+    if sharded:
+        logs_ = _sharded_logs(counts, _block_codes(dealt, order), order, max(blocks, math.ceil(entries / SHARD_ENTRIES)))
+        known = known.unionByName(logs_, allowMissingColumns=True)
 
     def score(left: pa.Table, right: pa.Table) -> pa.Table:
+        if sharded:
+            codes = right.filter(pc.is_valid(right["log"])).sort_by("key")
+            right = right.filter(pc.is_null(right["log"]))
+            known_codes, known_logs = codes["key"].to_numpy(), codes["log"].to_numpy()
+            log10 = lambda kinds: known_logs[np.searchsorted(known_codes, kinds)]
+        else:
+            log10 = shared.value.log10
         keys, c = right["key"].to_numpy(), right["c"].to_numpy()
         order_ = np.argsort(keys)
         keys, c = keys[order_], c[order_]
@@ -215,7 +281,6 @@ def score_texts(docs: DataFrame, modulus: int = 7, held_out: int = 2, order: int
         out: dict[str, list] = {k: [] for k in ("doc_id", "held_out", "n_tokens", "n_known", "logs", "score", "n_symbols")}
         ids, held = left["doc_id"].to_pylist(), left["held_out"].to_pylist()
         texts = [x or b"" for x in left["text"].cast(pa.large_binary()).to_pylist()]
-        model_ = shared.value
         i = 0
         while i < len(texts):
             j, n = i, 0
@@ -236,7 +301,7 @@ def score_texts(docs: DataFrame, modulus: int = 7, held_out: int = 2, order: int
             out["n_tokens"] += (np.diff(begins) + 1).tolist()
             out["n_known"] += hits.tolist()
             out["logs"] += sums.tolist()
-            out["score"] += model_.score(run).tolist()
+            out["score"] += text_scores(run, order, log10).tolist()
             out["n_symbols"] += [len(t) + 1 for t in run]
             i = j
         total = {"doc_id": None, "held_out": None, "n_tokens": int(right["n"].to_numpy().sum()), "n_known": int(first.sum()), "logs": 0.0, "score": 0.0, "n_symbols": None}

@@ -80,3 +80,13 @@ def test_empty_and_untrained(spark):
     for r in only:
         assert r.train_tokens == 0 and r.n_known == 0
         assert math.isclose(r.score, -r.n_symbols * math.log10(256), rel_tol=1e-9)
+
+
+@pytest.mark.parametrize("order", [3, 5])
+def test_shards_of_a_large_trie_keep_every_score(spark, order):
+    key = lambda r: str(r.doc_id)
+    whole = sorted(score_texts(frame(spark), order=order).collect(), key=key)
+    parts = sorted(score_texts(frame(spark), order=order, most_broadcast=10).collect(), key=key)
+    assert len(whole) == len(parts) == len(TEXTS)
+    for a, b in zip(whole, parts):
+        assert a[:-2] == b[:-2] and a.n_symbols == b.n_symbols and math.isclose(a.score, b.score, rel_tol=1e-12)
