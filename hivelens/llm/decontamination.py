@@ -3,7 +3,8 @@
 Numbers, names and units become typed placeholders, so a question with other values in it keeps its template. Windows
 of template tokens of documents and benchmark items are hash-joined; windows that line up at one offset form a segment,
 and a segment counts if its slots are consistent: equal values of the item stand for equal values of the document, and
-different names for different names.
+different names for different names. A second template of the case-folded text, in which names are words, finds copies
+in capitals, title case or lower case.
 """
 
 from __future__ import annotations
@@ -47,6 +48,13 @@ def _units() -> np.ndarray:
 
 
 _UNIT_HASHES = _units()
+#: Keeps hashes of case-blind templates apart from the others.
+_BLIND = np.uint64(0xA0761D6478BD642F)
+
+
+def case_blind(text: bytes) -> bytes:
+    """The case-folded text; bytes that aren't UTF-8 stay."""
+    return text.decode("utf-8", "surrogateescape").casefold().encode("utf-8", "surrogateescape")
 
 
 class Templates:
@@ -106,33 +114,37 @@ _WINDOW_FIELDS = "hash long, pos int, width int, slots array<byte>, values array
 
 
 def _window_rows(ids: list, texts: list[bytes], widths, known: np.ndarray | None, whole_only: bool, name: str) -> pa.RecordBatch | None:
-    t = Templates(texts)
     parts = []
-    for w in widths:
-        at, h = t.windows(w)
-        if whole_only:  # items: windows of WINDOW tokens, or the whole of a shorter one
-            ok = t.count[t.doc[at]] >= w if w == WINDOW else t.count[t.doc[at]] == w
-            at, h = at[ok], h[ok]
-        if known is not None and len(known):
-            place = np.minimum(np.searchsorted(known, h), len(known) - 1)
-            ok = known[place] == h
-            at, h = at[ok], h[ok]
-        if len(at):
-            parts.append((at, h, w))
+    for blind in (False, True):
+        t = Templates([case_blind(x) for x in texts] if blind else texts)
+        for w in widths:
+            at, h = t.windows(w)
+            if blind:
+                h = mix(h ^ _BLIND)
+            if whole_only:  # items: windows of WINDOW tokens, or the whole of a shorter one
+                ok = t.count[t.doc[at]] >= w if w == WINDOW else t.count[t.doc[at]] == w
+                at, h = at[ok], h[ok]
+            if known is not None and len(known):
+                place = np.minimum(np.searchsorted(known, h), len(known) - 1)
+                ok = known[place] == h
+                at, h = at[ok], h[ok]
+            if len(at):
+                parts.append((t, blind, at, h, w))
     if not parts:
         return None
-    cols: dict[str, list] = {k: [] for k in (name, "n", "hash", "pos", "width", "slots", "values")}
-    for at, h, w in parts:
+    cols: dict[str, list] = {k: [] for k in (name, "blind", "n", "hash", "pos", "width", "slots", "values")}
+    for t, blind, at, h, w in parts:
         doc = t.doc[at]
         grid = at[:, None] + np.arange(w)
         cols[name] += [ids[d] for d in doc]
+        cols["blind"] += [blind] * len(at)
         cols["n"] += t.count[doc].tolist()
         cols["hash"] += h.view(np.int64).tolist()
         cols["pos"] += (at - t.first[doc]).tolist()
         cols["width"] += [w] * len(at)
         cols["slots"] += list(t.slot[grid])
         cols["values"] += list(np.where(t.slot[grid] > 0, t.value[grid], np.uint64(0)).view(np.int64))
-    types = {name: pa.int64(), "n": pa.int32(), "hash": pa.int64(), "pos": pa.int32(), "width": pa.int32(), "slots": pa.list_(pa.int8()), "values": pa.list_(pa.int64())}
+    types = {name: pa.int64(), "blind": pa.bool_(), "n": pa.int32(), "hash": pa.int64(), "pos": pa.int32(), "width": pa.int32(), "slots": pa.list_(pa.int8()), "values": pa.list_(pa.int64())}
     return pa.RecordBatch.from_pydict({k: pa.array(v, types[k]) for k, v in cols.items()})
 
 
@@ -154,14 +166,15 @@ def _windows(df: DataFrame, name: str, widths, shared, whole_only: bool) -> Data
                     yield rows
                 i = j
 
-    return df.mapInArrow(run, f"{name} long, n int, {_WINDOW_FIELDS}")
+    return df.mapInArrow(run, f"{name} long, blind boolean, n int, {_WINDOW_FIELDS}")
 
 
 def find_contamination(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE, most_broadcast: int = MOST_BROADCAST) -> DataFrame:
     """Pairs of a document and a benchmark item whose template it holds: doc_id, item_id, coverage, n_windows, same_values.
 
     docs has doc_id and text, benchmark has item_id and text; other columns are ignored. coverage is the share of the
-    item's template tokens in consistent segments, same_values whether all its slots hold the item's own values. Missing
+    item's template tokens in consistent segments, same_values whether all its slots hold the item's own values; both are
+    those of the case-blind template where the other doesn't reach the coverage. Missing
     and empty texts hold nothing and match nothing. Rows with equal ids count as one document (or item); a missing id is
     an id of its own. Items with equal templates are all reported. Either table may be empty.
     """
@@ -176,12 +189,12 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, coverage: float =
         known = np.unique(bench.select("hash").toArrow()["hash"].to_numpy().view(np.uint64))
         shared = spark.sparkContext.broadcast(known if n else np.zeros(1, dtype=np.uint64))
     mine = docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text"))
-    left = _windows(mine, "doc_id", widths, shared, False).select("doc_id", "hash", F.col("pos").alias("doc_pos"), "width", F.col("values").alias("doc_values"))
-    right = bench.select("item_id", "hash", "width", "n", F.col("pos").alias("item_pos"), "slots", F.col("values").alias("item_values"))
-    met = left.join(right, ["hash", "width"]).withColumn("offset", F.col("doc_pos") - F.col("item_pos"))
+    left = _windows(mine, "doc_id", widths, shared, False).select("doc_id", "blind", "hash", F.col("pos").alias("doc_pos"), "width", F.col("values").alias("doc_values"))
+    right = bench.select("item_id", "blind", "hash", "width", "n", F.col("pos").alias("item_pos"), "slots", F.col("values").alias("item_values"))
+    met = left.join(right, ["hash", "width", "blind"]).withColumn("offset", F.col("doc_pos") - F.col("item_pos"))
     pairs = F.filter(F.arrays_zip("slots", F.col("item_values").alias("item"), F.col("doc_values").alias("doc")), lambda x: x["slots"] > 0)
     covered = F.sequence(F.col("item_pos"), F.col("item_pos") + F.col("width") - 1)
-    segments = met.groupBy("doc_id", "item_id", "offset").agg(
+    segments = met.groupBy("doc_id", "item_id", "blind", "offset").agg(
         F.max("n").alias("n"), F.countDistinct("item_pos").alias("windows"),
         F.array_distinct(F.flatten(F.collect_set(pairs))).alias("pairs"), F.array_distinct(F.flatten(F.collect_set(covered))).alias("covered"),
     )
@@ -189,8 +202,10 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, coverage: float =
     names = lambda x: x["slots"] == NAME
     all_ = lambda x: F.lit(True)
     consistent = segments.where((F.size(side("item", all_)) == F.size("pairs")) & (F.size(side("doc", names)) == F.size(F.filter("pairs", names))))
-    found = consistent.groupBy("doc_id", "item_id").agg(
+    found = consistent.groupBy("doc_id", "item_id", "blind").agg(
         F.max("n").alias("n"), F.sum("windows").alias("n_windows"), F.size(F.array_distinct(F.flatten(F.collect_list("covered")))).alias("covered"),
         F.min(F.forall("pairs", lambda x: x["item"] == x["doc"])).alias("same_values"),
     )
-    return found.withColumn("coverage", F.round(F.col("covered") / F.col("n"), 4)).where(F.col("coverage") >= coverage).select("doc_id", "item_id", "coverage", "n_windows", "same_values")
+    enough = found.withColumn("coverage", F.round(F.col("covered") / F.col("n"), 4)).where(F.col("coverage") >= coverage)
+    best = enough.groupBy("doc_id", "item_id").agg(F.min_by(F.struct("coverage", "n_windows", "same_values"), "blind").alias("x"))
+    return best.select("doc_id", "item_id", "x.coverage", "x.n_windows", "x.same_values")

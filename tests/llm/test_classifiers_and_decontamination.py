@@ -151,3 +151,13 @@ def test_contamination_of_awkward_rows(spark):
     assert find_contamination(empty(spark), bench).count() == find_contamination(frame(spark), bench.limit(0)).count() == 0
     null_id = frame(spark).selectExpr("cast(null as long) as doc_id", "text", "1 as item_id")
     assert [r.doc_id for r in find_contamination(null_id, bench).collect()] == [None]
+
+
+@pytest.mark.parametrize("most", [0, 1000])
+def test_copies_in_another_case_are_found(spark, most):
+    german = "Im März fährt Jürgen Groß 12 km nach Überlingen, weil dort die Straße zum großen See für 3 Tage offen ist"
+    copies = [c(x) for x in (ITEM, german) for c in (str.upper, str.lower, str.title)]
+    rng = random.Random(5)
+    got = contaminated(spark, [f"{prose(rng, 20)} {c} {prose(rng, 20)}" for c in copies] + [prose(rng, 60).upper()], [ITEM, german], most_broadcast=most)
+    assert set(got) == {(0, 0), (1, 0), (2, 0), (3, 1), (4, 1), (5, 1)}
+    assert all(r.same_values for r in got.values())
