@@ -20,9 +20,9 @@ from hivelens.llm.common import ship_package, stage_table, texts_of, whole_text
 from hivelens.llm.scan import mix, span_hashes
 
 WINDOW = 8
-#: Items with fewer template tokens never match; shorter ones than WINDOW match as a whole.
+#: Items with fewer template tokens match by their own values only; shorter ones than WINDOW match as a whole.
 LEAST_TOKENS = 5
-#: Share of a window's tokens that must be words rather than placeholders.
+#: Share of a window's tokens that must be words for values to be free; in other windows values are part of the hash.
 LEAST_LITERAL = 0.5
 #: Share of an item's tokens that must be found for a document to be contaminated by it.
 COVERAGE = 0.6
@@ -48,8 +48,8 @@ def _units() -> np.ndarray:
 
 
 _UNIT_HASHES = _units()
-#: Keeps hashes of case-blind templates apart from the others.
-_BLIND = np.uint64(0xA0761D6478BD642F)
+#: Keep hashes of case-blind templates and of windows with their values apart from the others.
+_BLIND, _EXACT = np.uint64(0xA0761D6478BD642F), np.uint64(0xE7037ED1A0B428DB)
 
 
 def case_blind(text: bytes) -> bytes:
@@ -96,18 +96,24 @@ class Templates:
         self.count = np.bincount(doc, minlength=len(texts))
         self.first = np.concatenate(([0], np.cumsum(self.count)))
 
-    def windows(self, width: int) -> tuple[np.ndarray, np.ndarray]:
-        """First tokens of the windows with enough words, and their hashes."""
+    def windows(self, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """First tokens of the windows, their hashes, and whether these are of values: so where there are too few words."""
         n = len(self.code) - width + 1
         if n <= 0:
-            return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.uint64)
+            return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.uint64), np.zeros(0, dtype=bool)
+        words = np.concatenate(([0], np.cumsum(self.slot == 0)))
+        at = np.flatnonzero(self.doc[:n] == self.doc[width - 1 :])
+        exact = (words[at + width] - words[at] < LEAST_LITERAL * width) | (width < LEAST_TOKENS)
         out = np.zeros(n, dtype=np.uint64)
         for k in range(width):
             out = out * np.uint64(0x2545F4914F6CDD1D) + self.code[k : k + n]
-        words = np.concatenate(([0], np.cumsum(self.slot == 0)))
-        ok = (self.doc[:n] == self.doc[width - 1 :]) & (words[width:] - words[:-width] >= LEAST_LITERAL * width)
-        at = np.flatnonzero(ok)
-        return at, mix(out[at] + np.uint64(width))
+        h = mix(out[at] + np.uint64(width))
+        few = at[exact]
+        out = np.zeros(len(few), dtype=np.uint64)
+        for k in range(width):
+            out = out * np.uint64(0x2545F4914F6CDD1D) + self.value[few + k]
+        h[exact] = mix((out + np.uint64(width)) ^ _EXACT)
+        return at, h, exact
 
 
 _WINDOW_FIELDS = "hash long, pos int, width int, slots array<byte>, values array<long>"
@@ -118,22 +124,22 @@ def _window_rows(ids: list, texts: list[bytes], widths, known: np.ndarray | None
     for blind in (False, True):
         t = Templates([case_blind(x) for x in texts] if blind else texts)
         for w in widths:
-            at, h = t.windows(w)
+            at, h, exact = t.windows(w)
             if blind:
                 h = mix(h ^ _BLIND)
             if whole_only:  # items: windows of WINDOW tokens, or the whole of a shorter one
                 ok = t.count[t.doc[at]] >= w if w == WINDOW else t.count[t.doc[at]] == w
-                at, h = at[ok], h[ok]
+                at, h, exact = at[ok], h[ok], exact[ok]
             if known is not None and len(known):
                 place = np.minimum(np.searchsorted(known, h), len(known) - 1)
                 ok = known[place] == h
-                at, h = at[ok], h[ok]
+                at, h, exact = at[ok], h[ok], exact[ok]
             if len(at):
-                parts.append((t, blind, at, h, w))
+                parts.append((t, blind, at, h, exact, w))
     if not parts:
         return None
     cols: dict[str, list] = {k: [] for k in (name, "blind", "n", "hash", "pos", "width", "slots", "values")}
-    for t, blind, at, h, w in parts:
+    for t, blind, at, h, exact, w in parts:
         doc = t.doc[at]
         grid = at[:, None] + np.arange(w)
         cols[name] += [ids[d] for d in doc]
@@ -142,8 +148,9 @@ def _window_rows(ids: list, texts: list[bytes], widths, known: np.ndarray | None
         cols["hash"] += h.view(np.int64).tolist()
         cols["pos"] += (at - t.first[doc]).tolist()
         cols["width"] += [w] * len(at)
-        cols["slots"] += list(t.slot[grid])
-        cols["values"] += list(np.where(t.slot[grid] > 0, t.value[grid], np.uint64(0)).view(np.int64))
+        slots = np.where(exact[:, None], 0, t.slot[grid]).astype(np.int8)  # equal values have no slot to prove
+        cols["slots"] += list(slots)
+        cols["values"] += list(np.where(slots > 0, t.value[grid], np.uint64(0)).view(np.int64))
     types = {name: pa.int64(), "blind": pa.bool_(), "n": pa.int32(), "hash": pa.int64(), "pos": pa.int32(), "width": pa.int32(), "slots": pa.list_(pa.int8()), "values": pa.list_(pa.int64())}
     return pa.RecordBatch.from_pydict({k: pa.array(v, types[k]) for k, v in cols.items()})
 
@@ -174,13 +181,14 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, coverage: float =
 
     docs has doc_id and text, benchmark has item_id and text; other columns are ignored. coverage is the share of the
     item's template tokens in consistent segments, same_values whether all its slots hold the item's own values; both are
-    those of the case-blind template where the other doesn't reach the coverage. Missing
+    those of the case-blind template where the other doesn't reach the coverage. Windows with few words, and items of
+    under LEAST_TOKENS tokens, match only with their own values (an item of one word is in each text with that word). Missing
     and empty texts hold nothing and match nothing. Rows with equal ids count as one document (or item); a missing id is
     an id of its own. Items with equal templates are all reported. Either table may be empty.
     """
     spark = docs.sparkSession
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), whole_text().alias("text"))
-    widths = [*range(LEAST_TOKENS, WINDOW), WINDOW]
+    widths = [*range(1, WINDOW), WINDOW]
     bench = stage_table(_windows(items, "item_id", widths, None, True), "windows")
     widths = [r["width"] for r in bench.select("width").distinct().collect()] or [WINDOW]
     n = bench.count()

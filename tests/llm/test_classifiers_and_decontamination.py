@@ -161,3 +161,19 @@ def test_copies_in_another_case_are_found(spark, most):
     got = contaminated(spark, [f"{prose(rng, 20)} {c} {prose(rng, 20)}" for c in copies] + [prose(rng, 60).upper()], [ITEM, german], most_broadcast=most)
     assert set(got) == {(0, 0), (1, 0), (2, 0), (3, 1), (4, 1), (5, 1)}
     assert all(r.same_values for r in got.values())
+
+
+@pytest.mark.parametrize("most", [0, 1000])
+def test_items_of_few_words_are_found_with_their_values(spark, most):
+    items = ["What is 12 + 7 - 3 + 5 * 2?", "What is 2 + 2?", "Sum 3 8 15 4 99 27 6 51 kg of 17 30 42 18 5 and 64 23 11 7", "Who is Ada Byron?"]
+    rng = random.Random(6)
+    docs = [f"{prose(rng, 20)} {x} {prose(rng, 20)}" for x in items] + [prose(rng, 40), "What is 13 + 7 - 3 + 5 * 2?", "What is 2 + 3?"]
+    got = contaminated(spark, docs, items, most_broadcast=most)
+    assert set(got) == {(i, i) for i in range(len(items))}
+    assert all(r.same_values and r.coverage == 1 for r in got.values())
+
+
+def test_equal_values_beside_changed_ones(spark):
+    item = "12 7 3 5 2 9 4 1 are the lengths of the long boards that the old carpenter cut into 12 pieces for the barn"
+    doc = "so 12 7 3 5 2 9 4 1 are the lengths of the long boards that the old carpenter cut into 30 pieces for the barn"
+    assert contaminated(spark, [doc], [item])[0, 0].coverage == 1
