@@ -46,10 +46,30 @@ def session_sums() -> list[Column]:
     ]
 
 
-def keyed_sessions(rows: DataFrame, keys: tuple[str, ...], order: str, text: str, longest: int = 100_000) -> DataFrame:
-    """Rows of a key in order: count and the ordered texts joined by line feeds. Keys are sessions of bounded length."""
-    ordered = F.transform(F.array_sort(F.collect_list(F.struct(order, text))), lambda x: x[text])
-    return rows.groupBy(*keys).agg(F.count("*").alias("n"), F.array_join(F.slice(ordered, 1, longest), "\n").alias("transcript"))
+def _joined(order: str, text: str) -> Column:
+    """Texts in order, joined by line feeds; missing ones are left out."""
+    return F.array_join(F.transform(F.array_sort(F.collect_list(F.struct(order, text))), lambda x: x[text]), "\n")
+
+
+def _transcript_parts(rows: DataFrame, keys: tuple[str, ...], order: str, text: str) -> DataFrame:
+    """Transcripts of ranges of the order column within each key, so that the rows of a large key meet in many tasks."""
+    ranged = rows.repartitionByRange(*keys, order).withColumn("part", F.spark_partition_id())
+    return ranged.groupBy(*keys, "part").agg(F.count("*").alias("n"), F.when(F.count(text) > 0, _joined(order, text)).alias("transcript"))
+
+
+def transcript_parts(rows: DataFrame, keys: tuple[str, ...], order: str, text: str) -> DataFrame:
+    """Rows of a key in order, as parts numbered from 1 that follow each other: count and joined texts of each."""
+    by_key = Window.partitionBy(*keys).orderBy("part")
+    return _transcript_parts(rows, keys, order, text).withColumn("part", F.row_number().over(by_key))
+
+
+def keyed_sessions(rows: DataFrame, keys: tuple[str, ...], order: str, text: str) -> DataFrame:
+    """Rows of a key in order: count and all ordered texts joined by line feeds.
+
+    A transcript is one value, so at most 2 GB; keys with more are for transcript_parts.
+    """
+    parts = _transcript_parts(rows, keys, order, text)
+    return parts.groupBy(*keys).agg(F.sum("n").alias("n"), _joined("part", "transcript").alias("transcript"))
 
 
 def mixed_sessions(events: DataFrame, seconds: int = GAP_SECONDS, need: str = "any") -> DataFrame:

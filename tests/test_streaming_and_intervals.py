@@ -73,3 +73,21 @@ def test_volume_cap_never_splits_a_tie(spark):
 def test_missing_types_stay_in_a_window(spark):
     df = spark.createDataFrame([("a", "2024-01-01 00:00:00"), (None, "2024-01-01 00:00:00"), ("b", "2024-01-01 23:59:59"), ("c", "2024-01-02 00:00:00")], "type string, t string").withColumn("ts", F.col("t").cast("timestamp_ntz"))
     assert {r.type for r in scan.window_scan(df, "2024-01-01", "2024-01-02", ("a",)).collect()} == {None, "b"}
+
+
+def test_transcripts_of_a_large_key_are_whole(spark):
+    from hivelens.operators.sessions import keyed_sessions, transcript_parts
+
+    n = 120_000
+    rows = spark.range(n).selectExpr("if(id % 1000 = 0, 1, 0) as k", f"{n} - id as turn", "if(id % 7 = 0, null, concat('t', id)) as text")
+    want = {k: "\n".join(f"t{i}" for i in range(n - 1, -1, -1) if i % 7 and (i % 1000 == 0) == k) for k in (0, 1)}
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = {r.k: (r.n, r.transcript) for r in keyed_sessions(rows, ("k",), "turn", "text").collect()}
+        parts = transcript_parts(rows, ("k",), "turn", "text").orderBy("k", "part").collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert got == {0: (n - n // 1000, want[0]), 1: (n // 1000, want[1])}
+    mine = [r for r in parts if r.k == 0]
+    assert len(mine) > 1 and [r.part for r in mine] == list(range(1, len(mine) + 1)) and sum(r.n for r in mine) == n - n // 1000
+    assert "\n".join(r.transcript for r in mine) == want[0]
