@@ -231,14 +231,26 @@ def a7_sweep(spark, folder):
     return rollup.sweep(rollup.attacker_activity(events_of(spark, folder)))
 
 
+def _d18_noise_labels(t):
+    rows = t.groupBy("src_ip").agg(F.count_distinct("type").alias("types"), F.count_distinct("dst_port").alias("ports"), F.count_if(F.col("type").isin("signup", "purchase")).alias("substance"))
+    return rows.select("src_ip", F.array_join(scoring.noise_labels(F.col("types"), F.col("ports"), F.col("substance")), ",").alias("labels"))
+
+
 @query(
     f"WITH {T}, w AS (SELECT src_ip, count(DISTINCT type) AS types, count(DISTINCT dst_port) AS ports, count(*) FILTER (type IN ('signup', 'purchase')) AS substance FROM t WHERE ts < TIMESTAMP '2024-01-02' GROUP BY 1) "
     "SELECT src_ip, concat_ws(',', CASE WHEN greatest(types, least(ports, 99) // 5) >= 3 THEN 'noise:fleet-scan' END, CASE WHEN substance > 0 THEN 'targeted:substantive' END) AS labels FROM w"
 )
 def d18_noise_labels(spark, folder):
-    t = events_of(spark, folder).where("ts < timestamp '2024-01-02'")
-    rows = t.groupBy("src_ip").agg(F.count_distinct("type").alias("types"), F.count_distinct("dst_port").alias("ports"), F.count_if(F.col("type").isin("signup", "purchase")).alias("substance"))
-    return rows.select("src_ip", F.array_join(scoring.noise_labels(F.col("types"), F.col("ports"), F.col("substance")), ",").alias("labels"))
+    return _d18_noise_labels(events_of(spark, folder).where("ts < timestamp '2024-01-02'"))
+
+
+@query(
+    f"WITH {T}, w AS (SELECT src_ip, count(DISTINCT type) AS types, count(DISTINCT dst_port) AS ports, count(*) FILTER (type IN ('signup', 'purchase')) AS substance FROM t GROUP BY 1) "
+    "SELECT src_ip, concat_ws(',', CASE WHEN greatest(types, least(ports, 99) // 5) >= 3 THEN 'noise:fleet-scan' END, CASE WHEN substance > 0 THEN 'targeted:substantive' END) AS labels FROM w"
+)
+def d18_noise_labels_whole(spark, folder):
+    """d18_noise_labels over all events."""
+    return _d18_noise_labels(events_of(spark, folder))
 
 
 _CRED_SQL = f"{T}, k AS (SELECT 'user' || (dst_port % 20) AS username, 'pass' || (event_id % 7) AS password, sensor, src_ip, ts FROM t)"
@@ -473,14 +485,33 @@ def b19_sightings(spark, folder):
     return graph.sighting_table(rows)
 
 
+def _t5_port_summary(t):
+    rows = t.groupBy("src_ip").agg(F.collect_set("dst_port").alias("p"))
+    return rows.select("src_ip", ports.port_summary(F.col("p")).alias("ports"))
+
+
 @query(
     f"WITH {T}, p(port, name) AS (VALUES " + ", ".join(f"({p}, '{v[0]}')" for p, v in ports.PORTS.items()) + "), d AS (SELECT DISTINCT src_ip, dst_port FROM t WHERE event_id % 4 = 0), "
     "r AS (SELECT *, row_number() OVER (PARTITION BY src_ip ORDER BY dst_port) AS k, count(*) OVER (PARTITION BY src_ip) AS n FROM d LEFT JOIN p ON dst_port = port) "
     "SELECT src_ip, string_agg('tcp/' || dst_port || coalesce(' (' || name || ')', ''), ', ' ORDER BY dst_port) || CASE WHEN max(n) > 12 THEN ', … +' || (max(n) - 12) || ' more' ELSE '' END AS ports FROM r WHERE k <= 12 GROUP BY 1"
 )
 def t5_port_summary(spark, folder):
-    rows = events_of(spark, folder).where("event_id % 4 = 0").groupBy("src_ip").agg(F.collect_set("dst_port").alias("p"))
-    return rows.select("src_ip", ports.port_summary(F.col("p")).alias("ports"))
+    return _t5_port_summary(events_of(spark, folder).where("event_id % 4 = 0"))
+
+
+@query(
+    f"WITH {T}, p(port, name) AS (VALUES " + ", ".join(f"({p}, '{v[0]}')" for p, v in ports.PORTS.items()) + "), d AS (SELECT DISTINCT src_ip, dst_port FROM t), "
+    "r AS (SELECT *, row_number() OVER (PARTITION BY src_ip ORDER BY dst_port) AS k, count(*) OVER (PARTITION BY src_ip) AS n FROM d LEFT JOIN p ON dst_port = port) "
+    "SELECT src_ip, string_agg('tcp/' || dst_port || coalesce(' (' || name || ')', ''), ', ' ORDER BY dst_port) || CASE WHEN max(n) > 12 THEN ', … +' || (max(n) - 12) || ' more' ELSE '' END AS ports FROM r WHERE k <= 12 GROUP BY 1"
+)
+def t5_port_summary_whole(spark, folder):
+    """t5_port_summary over all events."""
+    return _t5_port_summary(events_of(spark, folder))
+
+
+def _d16_scan_labels(t):
+    rows = t.groupBy("src_ip", "sensor").agg(F.collect_set("dst_port").alias("p"))
+    return rows.select("src_ip", "sensor", F.array_join(ports.scan_labels(F.col("p")), ",").alias("labels"))
 
 
 @query(
@@ -490,8 +521,18 @@ def t5_port_summary(spark, folder):
     "CASE WHEN len(f) >= 4 THEN 'recon:broad' END) AS labels FROM s"
 )
 def d16_scan_labels(spark, folder):
-    rows = events_of(spark, folder).where("event_id % 3 < 2 and ts < timestamp_ntz '2024-01-08'").groupBy("src_ip", "sensor").agg(F.collect_set("dst_port").alias("p"))
-    return rows.select("src_ip", "sensor", F.array_join(ports.scan_labels(F.col("p")), ",").alias("labels"))
+    return _d16_scan_labels(events_of(spark, folder).where("event_id % 3 < 2 and ts < timestamp_ntz '2024-01-08'"))
+
+
+@query(
+    f"WITH {T}, p(port, family) AS (VALUES " + ", ".join(f"({p}, '{v[1]}')" for p, v in ports.PORTS.items()) + "), s AS (SELECT src_ip, sensor, count(DISTINCT dst_port) AS n, list_sort(list(DISTINCT family) FILTER (family IS NOT NULL)) AS f "
+    "FROM t LEFT JOIN p ON dst_port = port GROUP BY 1, 2) "
+    "SELECT src_ip, sensor, concat_ws(',', CASE WHEN n = 1 THEN 'scan:single' WHEN n <= 5 THEN 'scan:multi-port' ELSE 'scan:vertical' END, CASE WHEN len(f) > 0 THEN 'target:' || array_to_string(f, ',target:') END, "
+    "CASE WHEN len(f) >= 4 THEN 'recon:broad' END) AS labels FROM s"
+)
+def d16_scan_labels_whole(spark, folder):
+    """d16_scan_labels over all events."""
+    return _d16_scan_labels(events_of(spark, folder))
 
 
 @query(
