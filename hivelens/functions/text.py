@@ -114,21 +114,32 @@ _JNDI = re.compile(r"\$\{\s*jndi\s*:\s*((?:ldaps?|rmi|dns|iiop|corba|nis|https?)
 _PAYLOADS = T.ArrayType(T.StructType([T.StructField(n, T.StringType()) for n in ("url", "scheme", "host")]))
 
 
+def _found_jndi(text: str, found: dict) -> None:
+    for m in _JNDI.finditer(plain_lookups(text)):
+        url = m.group(1)
+        scheme, _, rest = url.partition(":")
+        host = re.match(r"(?:[^/@]*@)?(\[[^\]]*\]|[^/:?#]*)", rest.lstrip("/")).group(1).lower()
+        found.setdefault(url, (url, scheme.lower(), host if host and "$" not in host else None))
+
+
 @F.pandas_udf(returnType=_PAYLOADS)
-def _jndi(text: pd.Series) -> pd.Series:
-    def one(x):
+def _jndi(texts: pd.Series) -> pd.Series:
+    def one(values):
         found = {}
-        for m in _JNDI.finditer(plain_lookups(x or "")):
-            url = m.group(1)
-            scheme, _, rest = url.partition(":")
-            host = re.match(r"(?:[^/@]*@)?(\[[^\]]*\]|[^/:?#]*)", rest.lstrip("/")).group(1).lower()
-            found.setdefault(url, (url, scheme.lower(), host if host and "$" not in host else None))
-        return list(found.values())[:32]
+        for x in [] if values is None else values:
+            _found_jndi(x, found)
+        return list(found.values())
 
-    return text.map(one)
+    return texts.map(one)
 
 
-def jndi_payloads(text: Column) -> Column:
-    """JNDI URLs in a text, look-ups resolved. Only texts with ${ go to Python."""
+def jndi_payloads_each(texts: Column) -> Column:
+    """JNDI URLs in an array of texts, look-ups of each text resolved on its own. Only texts with ${ go to Python."""
     none = F.array().cast("array<struct<url:string,scheme:string,host:string>>")
-    return F.when(F.contains(text, F.lit("${")), _jndi(F.when(F.contains(text, F.lit("${")), text))).otherwise(none)
+    some = F.filter(texts, lambda x: F.contains(x, F.lit("${")))
+    return F.when(F.size(some) > 0, _jndi(some)).otherwise(none)
+
+
+def jndi_payloads(text: Column) -> Column:
+    """JNDI URLs in a text, look-ups resolved."""
+    return jndi_payloads_each(F.array(text))

@@ -152,9 +152,12 @@ def normalise(docs: DataFrame) -> DataFrame:
 
 
 def jndi_events(events: DataFrame) -> DataFrame:
-    """events with jndi: look-up payloads in the address, path, body, agent or host header."""
-    joined = F.concat_ws(" ", "raw_ip", "path", "body", "user_agent", "host_header")
-    return events.withColumn("jndi", text.jndi_payloads(joined))
+    """events with jndi: look-up payloads in the address, path, body, agent, host header, and each top-level string of doc."""
+    named = F.array("raw_ip", "path", "body", "user_agent", "host_header")
+    top = F.map_values(F.expr("try_variant_get(doc, '$', 'map<string, variant>')"))
+    strings = F.transform(F.filter(top, lambda x: F.schema_of_variant(x) == "STRING"), lambda x: F.try_variant_get(x, "$", "string"))
+    texts = F.array_distinct(F.concat(named, F.coalesce(strings, F.array().cast("array<string>"))))
+    return events.withColumn("jndi", text.jndi_payloads_each(texts))
 
 
 def addressed(events: DataFrame) -> DataFrame:

