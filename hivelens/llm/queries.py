@@ -81,4 +81,17 @@ QUERIES = {
     f.__name__: f
     for f in (op1_ppm, op2_decontamination, op3_bpe, op4_quality, op5_toxicity, op6_bitplanes, op7_pii, op8_jaccard_join, op9_token_counts, op10_transport_stream)
 }
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op8_jaccard_join": r"""
+WITH RECURSIVE words AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents
+), sets AS (
+    SELECT doc_id, CASE WHEN len(w) = 0 THEN [] ELSE list_distinct(list_transform(range(1, greatest(len(w) - 4, 1) + 1), lambda i: array_to_string(w[i:i + 4], ' '))) END AS s FROM words
+), each AS (SELECT doc_id, len(s) AS n, unnest(s) AS g FROM sets),
+links AS (
+    SELECT a.doc_id AS x, b.doc_id AS y FROM each a JOIN each b ON a.g = b.g AND a.doc_id <> b.doc_id
+    GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 75 * (a.n + b.n - count(*))
+), reach AS (SELECT x, y FROM links UNION SELECT r.x, l.y FROM reach r JOIN links l ON r.y = l.x)
+SELECT doc_id, len(s)::BIGINT AS n_shingles, least(doc_id, (SELECT min(y) FROM reach WHERE x = doc_id))::BIGINT AS component_id FROM sets
+""",
+}

@@ -60,10 +60,38 @@ def corpus(seed):
 def test_components_against_all_pairs(spark, seed, few):
     rows = corpus(seed)
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
-    got = {r.doc_id: (r.n_shingles, r.component_id) for r in similar_components(df, few_pairs=few, most_broadcast=10 if few else 10**6).collect()}
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in similar_components(df, few_pairs=few, local_links=10**6 if few else 0, part_bytes=2000, chunk_bytes=700 if few else 10**6).collect()}
     assert got == plain(rows)
 
 
+def test_large_groups_of_exact_and_near_copies(spark):
+    rng, texts = random.Random(5), []
+    base = [rng.choice(WORDS) for _ in range(44)]
+    texts += [list(base)] * 60
+    for _ in range(220):  # one change keeps a link with the base, more don't; copies with one change link only by the base
+        new = list(base)
+        for k in rng.sample(range(44), rng.choice((1, 1, 1, 2, 3))):
+            new[k] = f"u{rng.randrange(10**6)}" if rng.random() < 0.8 else rng.choice(WORDS)
+        texts.append(new)
+    for _ in range(40):  # other words around one passage: one core, sizes that may or may not link
+        texts.append(base[:30] + [f"v{rng.randrange(10**6)}" for _ in range(rng.randint(0, 12))])
+    texts += [[], []]
+    rng.shuffle(texts)
+    rows = [(i, " ".join(t)) for i, t in enumerate(texts)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    for few in (0, 64):
+        got = {r.doc_id: (r.n_shingles, r.component_id) for r in similar_components(df, few_pairs=few, chunk_bytes=2000).collect()}
+        assert got == plain(rows)
+
+
+def test_repeated_rows_and_clashing_columns(spark):
+    rows = [(5, "a b c d e f g", 1, "x"), (5, "a b c d e f g", 1, "x"), (7, "A b c d e f  g", 2, "y"), (None, "a b c d e f g", 3, "z")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, n_shingles int, component_id string")
+    got = similar_components(df)
+    assert got.columns == ["doc_id", "n_shingles", "component_id"]
+    assert sorted(map(tuple, got.collect()), key=str) == [(5, 3, 5), (5, 3, 5), (7, 3, 5), (None, 3, None)]
+
+
 def test_awkward_rows(spark):
     got = similar_components(frame(spark)).collect()
     assert len(got) == 13
