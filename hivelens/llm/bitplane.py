@@ -20,16 +20,17 @@ import numpy as np
 import pyarrow as pa
 import zstandard
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from hivelens.llm.common import scratch_path, ship_package, stage_table, total_bytes, whole_text
-from hivelens.llm.token_files import groups, read_file, word_encoder, write_file
+from hivelens.llm.token_files import read_file, runs, word_encoder, write_file
 
 MAGIC = b"HLPLANE1"
 CHUNK_IDS = 65_536
 SHARD_BYTES = 16 << 20
-MOST_SHARDS = 20_000
+#: Files whose starts one task sums.
+BUNDLE = 1024
 
 
 def split_planes(ids: np.ndarray, kind: str) -> list[bytes]:
@@ -68,8 +69,9 @@ class Writer:
         self.n_waiting, self.place = 0, len(MAGIC)
         stream.write(MAGIC)
 
-    def add(self, doc_id: int | None, ids: np.ndarray) -> None:
-        self.docs.append((doc_id, len(ids)))
+    def add(self, doc_ids: list[int | None], sizes: np.ndarray, ids: np.ndarray) -> None:
+        """Documents with the numbers of ids that they have of ids."""
+        self.docs += zip(doc_ids, sizes.tolist())
         self.waiting.append(ids)
         self.n_waiting += len(ids)
         if self.n_waiting >= self.chunk_ids:
@@ -135,7 +137,7 @@ def write_bitplanes(docs: DataFrame, tokenizer_path: str, end_id: int, kind: str
     """
     spark = docs.sparkSession
     ship_package(spark)
-    shards = min(MOST_SHARDS, max(16, math.ceil(total_bytes(docs.select(whole_text(text).alias("text"))) / SHARD_BYTES)))
+    shards = max(16, math.ceil(total_bytes(docs.select(whole_text(text).alias("text"))) / SHARD_BYTES))
     base = scratch_path(spark, "bitplanes")
     rows = docs.select(F.col(id_column).cast("long").alias("doc_id"), whole_text(text).alias("text"))
     rows = rows.repartitionByRange(shards, "doc_id").sortWithinPartitions("doc_id", "text")
@@ -149,14 +151,13 @@ def write_bitplanes(docs: DataFrame, tokenizer_path: str, end_id: int, kind: str
         made = {}
 
         def fill(stream) -> None:
-            writer, ids_written, end = Writer(stream, kind), 0, np.array([end_id], dtype=np.uint32)
+            writer, ids_written = Writer(stream, kind), 0
             for batch in _chain(first, batches):
-                doc_ids, i = batch.column("doc_id").to_pylist(), 0
-                for run in groups(batch.column("text").to_pylist()):
-                    for ids in encoder.encode_texts(run):
-                        writer.add(doc_ids[i], np.append(ids, end))
-                        ids_written += len(ids) + 1
-                        i += 1
+                doc_ids = batch.column("doc_id").to_pylist()
+                for i, run in runs(batch.column("text")):
+                    ids, sizes = encoder.encode_ended(run, end_id)
+                    writer.add(doc_ids[i : i + len(run)], sizes, ids)
+                    ids_written += len(ids)
             writer.close()
             made.update(n_docs=len(writer.docs), n_ids=ids_written)
 
@@ -164,12 +165,14 @@ def write_bitplanes(docs: DataFrame, tokenizer_path: str, end_id: int, kind: str
         yield pa.RecordBatch.from_pydict({"shard": pa.array([shard], pa.int64()), "path": [uri], "n_docs": pa.array([made["n_docs"]], pa.int64()), "n_ids": pa.array([made["n_ids"]], pa.int64())})
 
     listed = stage_table(rows.mapInArrow(write, "shard long, path string, n_docs long, n_ids long"), "manifest")
-    manifest, start = [], 0
-    for r in sorted(listed.collect(), key=lambda r: r["shard"]):  # at most MOST_SHARDS rows
-        manifest.append((r["shard"], r["path"], r["n_docs"], r["n_ids"], start))
-        start += r["n_ids"]
-    out = spark.createDataFrame(manifest, "shard long, path string, n_docs long, n_ids long, start long")
-    return out.repartitionByRange(max(1, len(manifest)), "shard")
+    # One row for each SHARD_BYTES of text. Starts are sums in two steps, so no task sorts more than a bundle of files.
+    bundle = F.floor(F.col("shard") / BUNDLE)
+    before = Window.orderBy("bundle").rowsBetween(Window.unboundedPreceding, -1)
+    sums = listed.groupBy(bundle.alias("bundle")).agg(F.sum("n_ids").alias("n")).select("bundle", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("ahead"))
+    inside = Window.partitionBy("bundle").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
+    out = listed.withColumn("bundle", bundle).join(sums, "bundle")
+    out = out.select("shard", "path", "n_docs", "n_ids", (F.col("ahead") + F.coalesce(F.sum("n_ids").over(inside), F.lit(0))).alias("start"))
+    return out.repartition(shards, "shard")
 
 
 def _chain(first: pa.RecordBatch, rest: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

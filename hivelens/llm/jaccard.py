@@ -32,7 +32,7 @@ from hivelens.llm.common import ship_package, stage_table, texts_of, total_bytes
 from hivelens.llm.scan import Words, mix, shingles
 
 #: Text of a chunk, and of all chunks for each part of the shingles.
-CHUNK_BYTES, PART_BYTES = 4 << 20, 16 << 20
+CHUNK_BYTES, PART_BYTES = 2 << 20, 8 << 20
 #: Comparisons in open lists, as a multiple of all lists' rows, up to which all are made at once.
 FEW_PAIRS = 256
 #: Nodes of a list that are compared with the whole list in a round after the first; the first has one.
@@ -121,7 +121,8 @@ def survey(docs: DataFrame, width: int, percent: int, part_bytes: int = PART_BYT
     first has these. Rows without doc_id have none. A shingle of a third of all documents costs a part one entry for
     each chunk, not for each document.
     """
-    parts = max(16, math.ceil(total_bytes(docs) / part_bytes))
+    size = total_bytes(docs)
+    parts, chunks = max(16, math.ceil(size / part_bytes)), max(16, math.ceil(size / (4 * chunk_bytes)))
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task = TaskContext.get().partitionId()
@@ -223,9 +224,9 @@ def survey(docs: DataFrame, width: int, percent: int, part_bytes: int = PART_BYT
         return pa.table({"doc_id": pa.array(ids, pa.int64()), "n": size.astype(np.int64), "node": as_keys(key, size > 0), "core": pa.array(core, pa.binary()), "core_key": as_keys(keys, alive), "k": k.astype(np.int64)} | columns)
 
     sent = docs.mapInArrow(send, "chunk long, part int, table boolean, data binary")
-    counted = sent.groupBy("part").applyInArrow(count, "chunk long, table boolean, data binary")
+    counted = sent.repartition(parts, "part").groupBy("part").applyInArrow(count, "chunk long, table boolean, data binary")
     parities = ", ".join(f"s{j} long" for j in range(PARITIES))
-    return counted.groupBy("chunk").applyInArrow(gather, f"doc_id long, n long, node binary, core binary, core_key binary, k long, {parities}")
+    return counted.repartition(chunks, "chunk").groupBy("chunk").applyInArrow(gather, f"doc_id long, n long, node binary, core binary, core_key binary, k long, {parities}")
 
 
 def similar_components(docs: DataFrame, width: int = 5, percent: int = 75, few_pairs: int = FEW_PAIRS, local_links: int = LOCAL_LINKS, part_bytes: int = PART_BYTES, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from hivelens.llm.common import scratch_path, ship_package, stage_table, whole_text
-from hivelens.llm.token_files import groups, read_file, word_encoder, write_file
+from hivelens.llm.token_files import read_file, runs, word_encoder, write_file
 
 BLOCK_IDS = 1 << 20
 
@@ -33,15 +33,14 @@ def write_flat(docs: DataFrame, tokenizer_path: str, end_id: int, id_column: str
 
         def fill(stream) -> None:
             nonlocal n_ids
-            end = np.array([end_id], dtype=np.uint32)
             for batch in batches:
                 doc_ids.extend(batch.column("doc_id").to_pylist())
-                for run in groups(batch.column("text").to_pylist()):
-                    for ids in encoder.encode_texts(run):
-                        if len(ids) and (ids.max() > 0xFFFF or (ids == end_id).any()):
-                            raise ValueError("an id is over 16 bits or the end id")
-                        stream.write(np.append(ids, end).astype("<u2").tobytes())
-                        n_ids += len(ids) + 1
+                for _, run in runs(batch.column("text")):
+                    ids, _ = encoder.encode_ended(run, end_id)
+                    if ids.max() > 0xFFFF or (ids == end_id).sum() != len(run):
+                        raise ValueError("an id is over 16 bits or the end id")
+                    stream.write(ids.astype("<u2").tobytes())
+                    n_ids += len(ids)
 
         write_file(uri, fill)
         n = len(doc_ids)

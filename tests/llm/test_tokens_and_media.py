@@ -67,6 +67,16 @@ def test_word_encoder_equals_library(by_library):
     assert [list(x) for x in WordEncoder(WORDS).encode_texts(texts)] == [by_library(t) for t in texts]
 
 
+def test_word_encoder_in_odd_signs(by_library):
+    encoder, rng = WordEncoder(WORDS), random.Random(4)
+    signs = [*"aTJWHYabz.,'!?1", " ", "  ", "\t", "\n", "\x0b", "\x1c", "\x85", "\xa0", "\u2003", "\u0308", "\u030c", "\u030a", "\u0331", "\u0301", "İ", "ß", "Σ", "ς", "中", "가", "ᄀ", "ᅡ", "'s", "'LL", "n't", "<|endoftext|>", "<|", "|>", "<|startoftext|>", "😀", "é", "e\u0301", "\u0344", "\u212b", "\x00"]
+    texts = ["".join(rng.choice(signs) for _ in range(rng.randint(0, 40))) for _ in range(4000)]
+    assert [list(x) for x in encoder.encode_texts(texts)] == [by_library(t) for t in texts]
+    for upper in "ATZ":  # each sign between capitals
+        points = [f"{upper}{chr(c)}{upper} {chr(c)}{upper}{chr(c)}" for c in range(0x10000) if not 0xD800 <= c < 0xE000]
+        assert [list(x) for x in encoder.encode_texts(points)] == [by_library(t) for t in points]
+
+
 @pytest.mark.parametrize("kind", ["bit", "byte"])
 def test_planes_round_trip(kind):
     rng = np.random.default_rng(1)
