@@ -17,10 +17,18 @@ def quality_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps the document with the smallest id of each component of the Jaccard join; those without id stay."""
-    found = jaccard.similar_components(docs)
+    """Keeps the document with the smallest id of each component of the Jaccard join, and repeated rows once.
+
+    Rows without id stay, as nothing tells which of them would; rows with equal ids and different texts are different documents.
+    """
+    found = stage_table(jaccard.similar_components(docs), "components")
     gone = found.where("component_id <> doc_id").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    kept = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    repeated = found.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id")
+    if repeated.isEmpty():
+        return kept
+    again = kept.join(repeated, "doc_id", "left_semi").select(*docs.columns).dropDuplicates(["doc_id", "text"])
+    return kept.join(repeated, "doc_id", "left_anti").select(*docs.columns).unionByName(again)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

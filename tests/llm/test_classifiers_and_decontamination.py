@@ -85,6 +85,39 @@ def test_quality_on_rows_without_label(spark, corpus):
     assert any(a for a, _ in model.exchanged)
 
 
+def auc(score, truth):
+    order = np.argsort(np.argsort(score)) + 1.0
+    truth = np.array(truth, dtype=bool)
+    return (order[truth].sum() - truth.sum() * (truth.sum() + 1) / 2) / (truth.sum() * (~truth).sum())
+
+
+def test_both_views_hand_labels_over_and_learn(spark):
+    rng, rows, labels = random.Random(8), [], []
+    for i in range(1500):
+        good = rng.random() < 0.6
+        text = prose(rng, rng.randint(10, 40)) if good else " ".join(rng.choice(WORDS)[::-1] for _ in range(rng.randint(10, 40)))
+        rows.append((i, text, "en", rng.choice("abcd" if good else "cdef"), len(text)))
+        if i % 15 == 0:
+            labels.append((i, int(good)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    model = quality.train(docs, spark.createDataFrame(labels, "doc_id long, quality int"), per_round=100)
+    assert all(a > 0 and b > 0 for a, b in model.exchanged), model.exchanged
+    assert (np.abs(model.combine) < 10).all() and all(0 <= s[0] < 5 for s in model.scale)
+    got = [r for r in quality.score_quality(docs, model).collect() if r.doc_id % 15]
+    truth = [not r.text.islower() for r in got]
+    assert auc([r.p_text for r in got], truth) > 0.95 and auc([r.p_meta for r in got], truth) > 0.75
+    assert auc([r.quality_score for r in got], truth) > 0.97
+
+
+def test_quality_without_metadata_columns_and_with_repeats(spark, corpus):
+    docs, labels = corpus
+    bare = docs.select("doc_id", "text", docs.source.alias("vector"), docs.n_chars.alias("p0"))
+    model = quality.train(bare.unionByName(bare.limit(50)), labels.unionByName(labels.limit(50)))
+    rows = quality.score_quality(bare, model).collect()
+    assert len(rows) == 900 and np.mean([("***" not in r.text) == r.keep for r in rows]) > 0.97
+    assert quality.train(docs.limit(0), labels) is None and quality.train(docs, labels.limit(0)) is None
+
+
 def test_quality_on_awkward_rows(spark, corpus):
     docs, labels = corpus
     model = quality.train(docs, labels)

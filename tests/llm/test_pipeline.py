@@ -110,3 +110,12 @@ def test_encoding_of_what_is_left(steps, spark):
     texts = texts_after(out[3])
     assert {r.doc_id: r.ids for r in out[4].collect()} == {i: enc.encode_ordinary(t or "") for i, t in texts.items()}
     assert corpus_pipeline.run(spark, folder).count() == out[4].count()
+
+
+def test_repeated_rows_stay_once(spark):
+    text = "one two three four five six seven"
+    docs = spark.createDataFrame([(5, text, "en", "s", 1), (5, text, "en", "s", 1), (7, text, "en", "s", 1), (8, "other words here", None, None, None), (None, text, "en", "s", 1)], SCHEMA)
+    kept = corpus_pipeline.near_duplicates(spark, docs, "")
+    assert kept.columns == docs.columns
+    assert sorted((r.doc_id for r in kept.collect()), key=str) == [5, 8, None]
+    assert corpus_pipeline.near_duplicates(spark, docs.limit(0), "").count() == 0
