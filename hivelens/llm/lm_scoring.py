@@ -97,6 +97,8 @@ class Trie:
             if not len(codes):
                 continue
             c = code[left] & ((1 << 8 * (k + 1)) - 1)
+            near = np.argsort(c)  # in order, neighbours are looked up near each other
+            c, left, excluded, symbols = c[near], left[near], excluded[near], symbols[near]
             at, known = _find(contexts, c >> 8)
             n = np.where(known, total[at], 0) - np.where(known, excluded, 0)
             d = np.where(known, distinct[at], 0) - np.where(known, symbols, 0)
