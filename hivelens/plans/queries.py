@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hivelens.functions import ids, network, ports, scoring, text
-from hivelens.operators import graph, intervals, joins, rollup, scan, sessions, state
+from hivelens.functions import ids, network, ports, scoring, text, vocabulary
+from hivelens.operators import graph, intervals, joins, publish, rollup, scan, sessions, state
 from hivelens.plans.registry import T, query
+from hivelens.sources import lists
 from hivelens.sources.telemetry import events_of, read_table
 
 START, END = "2024-01-08 00:00:00", "2024-01-22 00:00:00"
@@ -236,20 +237,11 @@ def _d18_noise_labels(t):
     return rows.select("src_ip", F.array_join(scoring.noise_labels(F.col("types"), F.col("ports"), F.col("substance")), ",").alias("labels"))
 
 
-@query(
-    f"WITH {T}, w AS (SELECT src_ip, count(DISTINCT type) AS types, count(DISTINCT dst_port) AS ports, count(*) FILTER (type IN ('signup', 'purchase')) AS substance FROM t WHERE ts < TIMESTAMP '2024-01-02' GROUP BY 1) "
-    "SELECT src_ip, concat_ws(',', CASE WHEN greatest(types, least(ports, 99) // 5) >= 3 THEN 'noise:fleet-scan' END, CASE WHEN substance > 0 THEN 'targeted:substantive' END) AS labels FROM w"
-)
-def d18_noise_labels(spark, folder):
-    return _d18_noise_labels(events_of(spark, folder).where("ts < timestamp '2024-01-02'"))
-
-
 @query(
     f"WITH {T}, w AS (SELECT src_ip, count(DISTINCT type) AS types, count(DISTINCT dst_port) AS ports, count(*) FILTER (type IN ('signup', 'purchase')) AS substance FROM t GROUP BY 1) "
     "SELECT src_ip, concat_ws(',', CASE WHEN greatest(types, least(ports, 99) // 5) >= 3 THEN 'noise:fleet-scan' END, CASE WHEN substance > 0 THEN 'targeted:substantive' END) AS labels FROM w"
 )
-def d18_noise_labels_whole(spark, folder):
-    """d18_noise_labels over all events."""
+def d18_noise_labels(spark, folder):
     return _d18_noise_labels(events_of(spark, folder))
 
 
@@ -388,15 +380,40 @@ def x2_coalesced(spark, folder):
     return intervals.coalesced(_intervals(spark, folder), ("src_ip",))
 
 
+_TWO = f"w(ws, we) AS (VALUES (TIMESTAMP '{START}', TIMESTAMP '2024-01-14 00:00:00'), (TIMESTAMP '2024-01-16 12:00:00', TIMESTAMP '{END}'))"
+_X1_SQL = f"""{_IV_SQL}, {_TWO}, u AS (SELECT DISTINCT src_ip, ws, we FROM t, w), o AS (SELECT u.src_ip, ws, we, greatest(start, ws) AS a, least(stop, we) AS b FROM u JOIN c ON c.src_ip = u.src_ip AND start < we AND stop > ws),
+g AS (SELECT src_ip, ws, we, coalesce(lag(b) OVER (PARTITION BY src_ip, ws ORDER BY a), ws) AS s, a AS e FROM o UNION ALL SELECT u.src_ip, u.ws, u.we, coalesce(m, u.ws), u.we FROM u LEFT JOIN (SELECT src_ip, ws, max(b) AS m FROM o GROUP BY 1, 2) x ON x.src_ip = u.src_ip AND x.ws = u.ws),
+gaps AS (SELECT * FROM g WHERE s < e)"""
+
+
+def _windows(t):
+    two = F.array(*[F.struct(F.lit(a).cast("timestamp_ntz").alias("start"), F.lit(b).cast("timestamp_ntz").alias("end")) for a, b in ((START, "2024-01-14 00:00:00"), ("2024-01-16 12:00:00", END))])
+    return t.select("src_ip").distinct().select("src_ip", F.inline(two))
+
+
+@query(f"WITH {_X1_SQL} SELECT src_ip, s AS start, e AS \"end\" FROM gaps")
+def x1_uncounted(spark, folder):
+    return intervals.uncounted(_windows(events_of(spark, folder)), _intervals(spark, folder), ("src_ip",))
+
+
 @query(
-    f"WITH {_IV_SQL}, k AS (SELECT src_ip, greatest(start, TIMESTAMP '{START}') AS a, least(stop, TIMESTAMP '{END}') AS b FROM c), o AS (SELECT * FROM k WHERE a < b), "
-    f"g AS (SELECT src_ip, coalesce(lag(b) OVER (PARTITION BY src_ip ORDER BY a), TIMESTAMP '{START}') AS s, a AS e FROM o UNION ALL SELECT u.src_ip, coalesce(m, TIMESTAMP '{START}'), TIMESTAMP '{END}' "
-    "FROM (SELECT DISTINCT src_ip FROM t) u LEFT JOIN (SELECT src_ip, max(b) AS m FROM o GROUP BY 1) USING (src_ip)) SELECT src_ip, s AS start, e AS \"end\" FROM g WHERE s < e"
+    f"WITH {_X1_SQL}, p AS (SELECT src_ip, ws, count(*) AS n, min(s) AS a, max(e) AS b FROM gaps GROUP BY 1, 2), f AS (SELECT src_ip, max(stop) AS frontier FROM c GROUP BY 1), h AS (SELECT DISTINCT src_ip FROM t WHERE type = 'error' AND value > 95) "
+    f"SELECT u.src_ip, u.ws AS start, u.we AS \"end\", CASE WHEN h.src_ip IS NOT NULL AND u.ws <> TIMESTAMP '{START}' THEN 'reject' WHEN p.n IS NULL THEN 'none' WHEN p.n = 1 AND p.a = u.ws AND p.b = u.we AND (frontier IS NULL OR u.ws >= frontier) THEN 'forward' ELSE 'backfill' END AS mode "
+    "FROM u LEFT JOIN p ON p.src_ip = u.src_ip AND p.ws = u.ws LEFT JOIN f ON f.src_ip = u.src_ip LEFT JOIN h ON h.src_ip = u.src_ip"
 )
-def x1_uncounted(spark, folder):
+def x3_count_scope(spark, folder):
     t = events_of(spark, folder)
-    windows = t.select("src_ip").distinct().select("src_ip", F.lit(START).cast("timestamp_ntz").alias("start"), F.lit(END).cast("timestamp_ntz").alias("end"))
-    return intervals.uncounted(windows, _intervals(spark, folder), ("src_ip",))
+    unclean = t.where("type = 'error' and value > 95").select("src_ip").distinct().select("src_ip", F.lit(START).cast("timestamp_ntz").alias("start"))
+    return intervals.count_scope(_windows(t), _intervals(spark, folder), unclean, ("src_ip",))
+
+
+@query(
+    f"WITH {T}, d AS (SELECT event_id, CASE WHEN event_id % 5 > 0 THEN ts END AS last_run, TIMESTAMP '{END}' AS now FROM t) "
+    "SELECT event_id, coalesce(last_run, now - INTERVAL 6 HOUR) AS start, CASE WHEN last_run IS NULL THEN now ELSE least(now, last_run + INTERVAL 24 HOUR) END AS \"end\" FROM d"
+)
+def d28_cycle_windows(spark, folder):
+    w = intervals.cycle_window(F.when(F.col("event_id") % 5 > 0, F.col("ts")), F.lit(END).cast("timestamp_ntz"), 6)
+    return events_of(spark, folder).select("event_id", w.alias("w")).select("event_id", "w.start", "w.end")
 
 
 @query(
@@ -490,22 +507,12 @@ def _t5_port_summary(t):
     return rows.select("src_ip", ports.port_summary(F.col("p")).alias("ports"))
 
 
-@query(
-    f"WITH {T}, p(port, name) AS (VALUES " + ", ".join(f"({p}, '{v[0]}')" for p, v in ports.PORTS.items()) + "), d AS (SELECT DISTINCT src_ip, dst_port FROM t WHERE event_id % 4 = 0), "
-    "r AS (SELECT *, row_number() OVER (PARTITION BY src_ip ORDER BY dst_port) AS k, count(*) OVER (PARTITION BY src_ip) AS n FROM d LEFT JOIN p ON dst_port = port) "
-    "SELECT src_ip, string_agg('tcp/' || dst_port || coalesce(' (' || name || ')', ''), ', ' ORDER BY dst_port) || CASE WHEN max(n) > 12 THEN ', … +' || (max(n) - 12) || ' more' ELSE '' END AS ports FROM r WHERE k <= 12 GROUP BY 1"
-)
-def t5_port_summary(spark, folder):
-    return _t5_port_summary(events_of(spark, folder).where("event_id % 4 = 0"))
-
-
 @query(
     f"WITH {T}, p(port, name) AS (VALUES " + ", ".join(f"({p}, '{v[0]}')" for p, v in ports.PORTS.items()) + "), d AS (SELECT DISTINCT src_ip, dst_port FROM t), "
     "r AS (SELECT *, row_number() OVER (PARTITION BY src_ip ORDER BY dst_port) AS k, count(*) OVER (PARTITION BY src_ip) AS n FROM d LEFT JOIN p ON dst_port = port) "
     "SELECT src_ip, string_agg('tcp/' || dst_port || coalesce(' (' || name || ')', ''), ', ' ORDER BY dst_port) || CASE WHEN max(n) > 12 THEN ', … +' || (max(n) - 12) || ' more' ELSE '' END AS ports FROM r WHERE k <= 12 GROUP BY 1"
 )
-def t5_port_summary_whole(spark, folder):
-    """t5_port_summary over all events."""
+def t5_port_summary(spark, folder):
     return _t5_port_summary(events_of(spark, folder))
 
 
@@ -514,24 +521,13 @@ def _d16_scan_labels(t):
     return rows.select("src_ip", "sensor", F.array_join(ports.scan_labels(F.col("p")), ",").alias("labels"))
 
 
-@query(
-    f"WITH {T}, p(port, family) AS (VALUES " + ", ".join(f"({p}, '{v[1]}')" for p, v in ports.PORTS.items()) + "), s AS (SELECT src_ip, sensor, count(DISTINCT dst_port) AS n, list_sort(list(DISTINCT family) FILTER (family IS NOT NULL)) AS f "
-    "FROM t LEFT JOIN p ON dst_port = port WHERE event_id % 3 < 2 AND ts < TIMESTAMP '2024-01-08' GROUP BY 1, 2) "
-    "SELECT src_ip, sensor, concat_ws(',', CASE WHEN n = 1 THEN 'scan:single' WHEN n <= 5 THEN 'scan:multi-port' ELSE 'scan:vertical' END, CASE WHEN len(f) > 0 THEN 'target:' || array_to_string(f, ',target:') END, "
-    "CASE WHEN len(f) >= 4 THEN 'recon:broad' END) AS labels FROM s"
-)
-def d16_scan_labels(spark, folder):
-    return _d16_scan_labels(events_of(spark, folder).where("event_id % 3 < 2 and ts < timestamp_ntz '2024-01-08'"))
-
-
 @query(
     f"WITH {T}, p(port, family) AS (VALUES " + ", ".join(f"({p}, '{v[1]}')" for p, v in ports.PORTS.items()) + "), s AS (SELECT src_ip, sensor, count(DISTINCT dst_port) AS n, list_sort(list(DISTINCT family) FILTER (family IS NOT NULL)) AS f "
     "FROM t LEFT JOIN p ON dst_port = port GROUP BY 1, 2) "
     "SELECT src_ip, sensor, concat_ws(',', CASE WHEN n = 1 THEN 'scan:single' WHEN n <= 5 THEN 'scan:multi-port' ELSE 'scan:vertical' END, CASE WHEN len(f) > 0 THEN 'target:' || array_to_string(f, ',target:') END, "
     "CASE WHEN len(f) >= 4 THEN 'recon:broad' END) AS labels FROM s"
 )
-def d16_scan_labels_whole(spark, folder):
-    """d16_scan_labels over all events."""
+def d16_scan_labels(spark, folder):
     return _d16_scan_labels(events_of(spark, folder))
 
 
@@ -590,3 +586,201 @@ def t2_ip_credentials(spark, folder):
     rows = events_of(spark, folder)
     tried = rows.select("src_ip", F.concat(F.lit("user"), F.col("dst_port") % 20).alias("username"), F.concat(F.lit("pass"), F.col("event_id") % 7).alias("password"), (F.col("type") == "signup").alias("ok"))
     return rollup.ip_credentials(tried, 20)
+
+
+_KINDS = ["Cowrie", "Suricata", "Heralding", "ConPot", "Galah", "RDPHoneypot", "Newpot", "__fallback__"]
+_KIND_SQL = "k AS (SELECT *, (" + repr(_KINDS) + ")[CAST(dst_port % 8 AS INTEGER) + 1] AS kind FROM t), v(kind, slug, protocols, title, unit) AS (VALUES " + ", ".join(f"('{k}', '{v[0]}', '{v[1]}', '{v[2]}', '{v[3]}')" for k, v in vocabulary.FAMILIES.items()) + ")"
+
+
+def _kinds(spark, folder):
+    return events_of(spark, folder).withColumn("kind", F.element_at(F.array(*map(F.lit, _KINDS)), F.col("dst_port") % 8 + 1))
+
+
+@query(f"WITH {T}, {_KIND_SQL} SELECT sensor, kind, count(*) AS n, array_to_string(list_filter(['honeypot', coalesce(slug, lower(kind)), protocols, 'sensor:' || sensor], lambda x: x IS NOT NULL), ',') AS labels FROM k LEFT JOIN v USING (kind) GROUP BY sensor, kind, slug, protocols")
+def d11_family_labels(spark, folder):
+    rows = _kinds(spark, folder).groupBy("sensor", "kind").agg(F.count("*").alias("n"))
+    return rows.withColumn("labels", F.array_join(vocabulary.family_labels(F.col("kind"), F.col("sensor")), ","))
+
+
+@query(f"WITH {T}, {_KIND_SQL} SELECT src_ip, kind, coalesce(title, 'Honeypot Attacker') || ' - ' || src_ip || ' (' || count(*) || ' ' || coalesce(unit, 'event') || CASE WHEN count(*) = 1 THEN '' ELSE 's' END || ')' AS name FROM k LEFT JOIN v USING (kind) GROUP BY src_ip, kind, title, unit")
+def d12_indicator_names(spark, folder):
+    rows = _kinds(spark, folder).groupBy("src_ip", "kind").agg(F.count("*").alias("n"))
+    return rows.select("src_ip", "kind", vocabulary.indicator_name(F.col("kind"), F.col("src_ip"), F.col("n")).alias("name"))
+
+
+@query("WITH l AS (SELECT n_nationkey, (['white', 'TLP:Clear', ' green ', 'tlp-AMBER', 'TLP:amber+strict', 'RED', 'purple'])[n_nationkey % 7 + 1] AS level FROM nation), m(level, id) AS (VALUES " + ", ".join(f"('{k}', '{v}')" for k, v in vocabulary.MARKINGS.items()) + ") SELECT n_nationkey, id AS marking FROM l LEFT JOIN m ON m.level = regexp_replace(lower(trim(l.level)), '^tlp[:-]', '')")
+def d5_marking_ids(spark, folder):
+    level = F.element_at(F.array(*map(F.lit, ["white", "TLP:Clear", " green ", "tlp-AMBER", "TLP:amber+strict", "RED", "purple"])), (F.col("n_nationkey") % 7 + 1).cast("int"))
+    return read_table(spark, folder, "nation").select("n_nationkey", vocabulary.marking_id(level).alias("marking"))
+
+
+@query("SELECT p_partkey, CAST(CASE p_partkey % 5 WHEN 0 THEN p_size * 60.0 WHEN 1 THEN p_size * 3600.0 + 30 WHEN 2 THEN 900.0 WHEN 3 THEN p_size + 0.5 ELSE 900.0 END AS DOUBLE) AS seconds FROM part")
+def d27_iso_seconds(spark, folder):
+    n = F.col("p_size").cast("string")
+    texts = F.array(F.concat(F.lit("PT"), n, F.lit("M")), F.concat(F.lit(" PT"), n, F.lit("H30S ")), F.lit("P1D"), F.concat(F.lit("PT"), n, F.lit(".5S")), F.lit("PT0M"))
+    return read_table(spark, folder, "part").select("p_partkey", vocabulary.iso_seconds(F.element_at(texts, (F.col("p_partkey") % 5 + 1).cast("int"))).alias("seconds"))
+
+
+@query(
+    """WITH b AS (SELECT p_partkey, p_partkey % 6 AS k, p_name FROM part) SELECT p_partkey, CASE k WHEN 0 THEN 'CVE-2014-3120' WHEN 1 THEN 'CVE-2015-1427' WHEN 2 THEN 'CVE-2014-3120' END AS cve FROM b"""
+)
+def p23_search_exploits(spark, folder):
+    name = F.col("p_name")
+    bodies = F.array(
+        F.concat(F.lit('{"x": "'), name, F.lit('", "SCRIPT" : "import java.util.*;\nRuntime.getRuntime().exec(\'id\')"}')),
+        F.concat(F.lit('{"template": {"inline": "'), name, F.lit('", "v": "Math.class.forName(1)"}}')),
+        F.concat(F.lit('{"script": "1", "q": "'), name, F.lit('", "lang" : "groovy"}')),
+        F.concat(F.lit('{"query": "java.lang.Runtime '), name, F.lit('"}')), F.lit(""), F.lit(None),
+    )
+    return read_table(spark, folder, "part").select("p_partkey", vocabulary.search_exploit(F.element_at(bodies, (F.col("p_partkey") % 6 + 1).cast("int"))).alias("cve"))
+
+
+@query(
+    "SELECT p_partkey, array_to_string(list_sort(list_distinct(list_filter(['malware-sample', 'source:malware-collector', CASE WHEN p_partkey % 3 > 0 THEN 'filetype:' || lower(p_brand) END, CASE WHEN p_size >= 10 THEN 'confidence:high' END, "
+    "CASE WHEN p_partkey % 2 = 0 THEN 'sector:' || p_type END], lambda x: x IS NOT NULL))), ',') AS labels FROM part"
+)
+def d26_sample_labels(spark, folder):
+    sectors = F.array(F.when(F.col("p_partkey") % 2 == 0, F.col("p_type")).otherwise("general"), F.lit(""), F.lit("general"))
+    labels = vocabulary.sample_labels(sectors, F.when(F.col("p_partkey") % 3 > 0, F.concat(F.lit(" "), "p_brand")), F.col("p_size"))
+    return read_table(spark, folder, "part").select("p_partkey", F.array_join(labels, ",").alias("labels"))
+
+
+@query(
+    "WITH n AS (SELECT s_suppkey, (203 * 256 + s_suppkey % 7) * 65536 + (s_suppkey % 250) * 256 + s_suppkey % 200 AS a, 16 + s_suppkey % 17 AS len FROM supplier WHERE s_suppkey % 6 IN (1, 2, 4)), "
+    "z AS (SELECT a, CASE WHEN s_suppkey % 6 = 2 THEN 32 ELSE len END AS len FROM n) SELECT CAST(a - a % CAST(pow(2, 32 - len) AS BIGINT) AS BIGINT) AS lo, CAST(a - a % CAST(pow(2, 32 - len) AS BIGINT) + CAST(pow(2, 32 - len) AS BIGINT) - 1 AS BIGINT) AS hi FROM z"
+)
+def s13_netset(spark, folder):
+    """Lines of a list: comments, networks with host bits, plain addresses, notes after a network, and what is none."""
+    k = F.col("s_suppkey")
+    ip = F.concat_ws(".", F.lit("203"), (k % 7).cast("string"), (k % 250).cast("string"), (k % 200).cast("string"))
+    cidr = F.concat(ip, F.lit("/"), (16 + k % 17).cast("string"))
+    lines = F.array(F.concat(F.lit("# "), cidr), cidr, F.concat(F.lit("  "), ip, F.lit("\t")), F.lit("; Spam 10.0.0.0/8"), F.concat(cidr, F.lit(" ; SBL1")), F.concat(ip, F.lit("/40")))
+    return lists.netset(read_table(spark, folder, "supplier").select(F.element_at(lines, (k % 6 + 1).cast("int")).alias("value"))).select("lo", "hi")
+
+
+@query("SELECT '203.0.' || (s_suppkey % 100) || '.' || (s_suppkey % 250) AS ip, CASE WHEN s_suppkey % 4 = 1 THEN 'Emotet' || s_nationkey END AS family FROM supplier WHERE s_suppkey % 3 = 0 AND s_suppkey % 5 > 0")
+def s14_online_hosts(spark, folder):
+    """Trackers' JSON arrays, one for each nation, with offline hosts and addresses that are none."""
+    k = F.col("s_suppkey")
+    ip = F.when(k % 5 > 0, F.concat_ws(".", F.lit("203.0"), (k % 100).cast("string"), (k % 250).cast("string"))).otherwise("2001:db8::1")
+    entry = F.struct(ip.alias("ip_address"), F.when(k % 3 == 0, "Online").otherwise("offline").alias("status"), F.when(k % 4 == 1, F.concat(F.lit("Emotet"), "s_nationkey")).otherwise(" ").alias("malware"))
+    documents = read_table(spark, folder, "supplier").groupBy("s_nationkey").agg(F.to_json(F.collect_list(entry)).alias("value"))
+    return lists.online_hosts(documents)
+
+
+_LISTS_SQL = f"l AS (SELECT dst_port AS key, max(ts) AS fetched_at, bool_or(value > 99.5) AS failed FROM t WHERE ts < TIMESTAMP '2024-01-28 00:00:00' OR dst_port % 3 = 0 GROUP BY 1), a AS (SELECT *, (epoch_us(TIMESTAMP '2024-01-31 00:30:00') - epoch_us(fetched_at)) / 3.6e9 AS age FROM l)"
+
+
+def _lists(spark, folder):
+    t = events_of(spark, folder).where("ts < timestamp_ntz '2024-01-28 00:00:00' or dst_port % 3 = 0")
+    return t.groupBy(F.col("dst_port").alias("key")).agg(F.max("ts").alias("fetched_at"), F.max(F.col("value") > 99.5).alias("failed"))
+
+
+@query(f"WITH {T}, {_LISTS_SQL} SELECT key, round(greatest(age, 0), 6) AS age FROM a WHERE age >= -1 AND age <= 72")
+def x20_usable_lists(spark, folder):
+    return lists.usable(_lists(spark, folder), F.lit("2024-01-31 00:30:00").cast("timestamp_ntz")).select("key", F.round("age", 6).alias("age"))
+
+
+@query(f"WITH {T}, {_LISTS_SQL}, d AS (SELECT key, coalesce(failed, FALSE) OR age < -1 OR age * 3600 >= 86400 AS due FROM a) SELECT key FROM d WHERE due OR NOT (SELECT bool_or(due) FROM d)")
+def x20_lists_due(spark, folder):
+    return lists.due(_lists(spark, folder), F.lit("2024-01-31 00:30:00").cast("timestamp_ntz"), 86_400).select("key")
+
+
+_HITS_SQL = "h AS (SELECT DISTINCT src_ip AS ip, 'list-' || (dst_port % 4) AS key, CASE WHEN dst_port % 8 = 3 THEN 'Trojan.Emotet' WHEN dst_port % 8 = 7 THEN 'agent' END AS family FROM t WHERE type = 'purchase')"
+
+
+def _hits(spark, folder):
+    t = events_of(spark, folder).where("type = 'purchase'")
+    family = F.when(F.col("dst_port") % 8 == 3, "Trojan.Emotet").when(F.col("dst_port") % 8 == 7, "agent")
+    hits = t.select(F.col("src_ip").alias("ip"), F.concat(F.lit("list-"), (F.col("dst_port") % 4).cast("string")).alias("key"), family.alias("family")).distinct()
+    return hits, spark.createDataFrame([(f"list-{i}", f"blocklist:{'abca'[i]}", i == 3) for i in range(4)], "key string, label string, promotes boolean")
+
+
+@query(f"WITH {T}, {_HITS_SQL} SELECT ip, array_to_string(list_sort(list(DISTINCT 'blocklist:' || (CASE key WHEN 'list-1' THEN 'b' WHEN 'list-2' THEN 'c' ELSE 'a' END))), ',') AS labels FROM h GROUP BY 1")
+def j12_hit_labels(spark, folder):
+    return lists.hit_labels(*_hits(spark, folder)).withColumn("labels", F.array_join("labels", ","))
+
+
+@query(f"WITH {T}, {_HITS_SQL} SELECT DISTINCT ip, 'related-to' AS kind, 'emotet' AS family FROM h WHERE key = 'list-3' AND family = 'Trojan.Emotet'")
+def j12_hit_families(spark, folder):
+    return lists.hit_families(*_hits(spark, folder))
+
+
+@query(f"WITH {T} SELECT DISTINCT src_ip FROM t WHERE src_ip > '198.51.0.7' ORDER BY 1 LIMIT 25")
+def j11_address_candidates(spark, folder):
+    return lists.address_candidates(events_of(spark, folder), "198.51.0.7", 25)
+
+
+@query("SELECT sha256(text) AS sha256, max(doc_id) AS last_seen FROM documents WHERE doc_id % 3 > 0 GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 40")
+def j11_hash_candidates(spark, folder):
+    kind = F.when(F.col("doc_id") % 3 > 0, "malware").otherwise("ssh-key")
+    return lists.hash_candidates(read_table(spark, folder, "documents").select(kind.alias("kind"), F.upper(F.sha2(F.col("text").cast("binary"), 256)).alias("value"), F.col("doc_id").alias("last_seen")), 40)
+
+
+_TYPES = ["identity", "malware", "ipv4-addr", "indicator", "note", "relationship", "sighting", "x-custom"]
+_OBJECTS_SQL = "o AS (SELECT (" + repr(_TYPES) + ")[CAST(event_id % 8 AS INTEGER) + 1] AS type, 'x--' || md5(CAST(event_id AS VARCHAR)) AS id FROM t), q AS (SELECT *, CASE WHEN type IN ('identity', 'malware') THEN 'foundation' WHEN type IN ('ipv4-addr', 'indicator', 'note') THEN 'entities' ELSE 'relationships' END AS pass FROM o)"
+
+
+def _objects(spark, folder):
+    kind = F.element_at(F.array(*map(F.lit, _TYPES)), (F.col("event_id") % 8 + 1).cast("int"))
+    return events_of(spark, folder).select(kind.alias("type"), F.concat(F.lit("x--"), F.md5(F.col("event_id").cast("string").cast("binary"))).alias("id"))
+
+
+@query(f"WITH {T}, {_OBJECTS_SQL} SELECT pass, type, count(*) AS n FROM q GROUP BY 1, 2")
+def s19_publish_passes(spark, folder):
+    return _objects(spark, folder).groupBy(publish.publish_pass(F.col("type")).alias("pass"), "type").agg(F.count("*").alias("n"))
+
+
+@query(f"WITH {T}, {_OBJECTS_SQL} SELECT type, count(*) AS n FROM o WHERE type = 'x-custom' GROUP BY 1")
+def f21_unknown_types(spark, folder):
+    return publish.unknown_types(_objects(spark, folder))
+
+
+@query(f"WITH {T}, {_OBJECTS_SQL}, r AS (SELECT *, row_number() OVER (PARTITION BY pass ORDER BY id) - 1 AS place, count(*) OVER (PARTITION BY pass) AS n FROM q), c AS (SELECT *, greatest(1, least(6, greatest(n // 40, 1))) AS chunks FROM r) SELECT pass, id, CAST(place // ((n + chunks - 1) // chunks) AS INTEGER) AS chunk FROM c")
+def s20_chunks(spark, folder):
+    objects = _objects(spark, folder).select(publish.publish_pass(F.col("type")).alias("pass"), "id")
+    return publish.chunked(objects).select("pass", "id", "chunk")
+
+
+_CHUNK_SQL = "e AS (SELECT src_ip AS pass, dst_port AS chunk, event_id AS seq, CASE WHEN type = 'error' THEN 'quarantined' WHEN type = 'view' THEN 'enqueued' ELSE 'complete' END AS status, CAST(event_id % 3 AS INTEGER) AS errors, 'e' || event_id AS summary FROM t)"
+
+
+@query(
+    f"WITH {T}, {_CHUNK_SQL} SELECT pass, chunk, arg_max(status, seq) AS status, coalesce(arg_max(errors, seq) FILTER (status <> 'quarantined'), 0) AS errors, coalesce(arg_max(summary, seq) FILTER (status <> 'quarantined'), '') || "
+    "coalesce(string_agg(' | QUARANTINED: ' || summary, '' ORDER BY seq) FILTER (status = 'quarantined'), '') AS summary FROM e GROUP BY 1, 2"
+)
+def x10_chunk_outcomes(spark, folder):
+    status = F.when(F.col("type") == "error", "quarantined").when(F.col("type") == "view", "enqueued").otherwise("complete")
+    events = events_of(spark, folder).select(F.col("src_ip").alias("pass"), F.col("dst_port").alias("chunk"), F.col("event_id").alias("seq"), status.alias("status"), (F.col("event_id") % 3).cast("int").alias("errors"), F.concat(F.lit("e"), "event_id").alias("summary"))
+    return publish.chunk_outcomes(events)
+
+
+@query(f"WITH {T}, p AS (SELECT src_ip, dst_port, CASE WHEN event_id % 2 = 0 THEN 'file--' || left(md5(CAST(event_id AS VARCHAR)), 8) ELSE '' END || '|' || type AS part FROM t) SELECT src_ip, dst_port, left(sha256(string_agg(part, chr(10) ORDER BY part)), 32) AS signature FROM p GROUP BY 1, 2")
+def d29_error_signatures(spark, folder):
+    source = F.when(F.col("event_id") % 2 == 0, F.concat(F.lit('{"id": "file--'), F.substring(F.md5(F.col("event_id").cast("string").cast("binary")), 1, 8), F.lit('", "at": 1}'))).otherwise("none")
+    errors = events_of(spark, folder).groupBy("src_ip", "dst_port").agg(F.collect_list(F.struct(source.alias("source"), F.col("type").alias("message"))).alias("errors"))
+    return errors.select("src_ip", "dst_port", publish.error_signature(F.col("errors")).alias("signature"))
+
+
+@query(f"WITH {T} SELECT sensor AS pass, CAST(sum(dst_port) AS BIGINT) AS objects, CAST(sum(event_id % 10) AS BIGINT) AS seconds, count(*) AS records, CASE WHEN sum(event_id % 10) > 0 THEN CAST(sum(dst_port) AS DOUBLE) / CAST(sum(event_id % 10) AS DOUBLE) END AS rate FROM t GROUP BY 1")
+def x13_throughput(spark, folder):
+    return publish.throughput(events_of(spark, folder).select(F.col("sensor").alias("pass"), F.col("dst_port").alias("objects"), (F.col("event_id") % 10).alias("seconds")))
+
+
+@query(f"WITH {T}, c AS (SELECT user_id, count(*) * 2000 AS read, count(*) FILTER (type = 'error') * 90 AS parsed, count(*) FILTER (type <> 'view') * 2000 AS filtered, count(*) FILTER (type = 'view') * 1990 AS excluded FROM t GROUP BY 1) SELECT user_id, concat_ws(',', CASE WHEN read >= 10000 AND parsed / read < 0.01 THEN 'stall' END, CASE WHEN abs(read - filtered - excluded) > greatest(50.0, read * 0.01) THEN 'drift' END) AS alarms FROM c")
+def f22_cycle_alarms(spark, folder):
+    view, error = F.count_if(F.col("type") == "view"), F.count_if(F.col("type") == "error")
+    cycles = events_of(spark, folder).groupBy("user_id").agg((F.count("*") * 2000).alias("read"), (error * 90).alias("parsed"), ((F.count("*") - view) * 2000).alias("filtered"), (view * 1990).alias("excluded"))
+    return cycles.select("user_id", F.array_join(publish.cycle_alarms(F.col("read"), F.col("parsed"), F.col("read"), F.col("filtered"), F.col("excluded")), ",").alias("alarms"))
+
+
+@query(f"WITH {T} SELECT sensor AS source, type AS status, count(*) AS n, count(*) FILTER (ts >= TIMESTAMP '{START}') AS spent FROM t GROUP BY 1, 2")
+def a17_ledger_counts(spark, folder):
+    ledger = events_of(spark, folder).select(F.col("sensor").alias("source"), F.col("type").alias("status"), F.col("ts").alias("fetched_at"))
+    return publish.ledger_counts(ledger, F.lit(START).cast("timestamp_ntz"))
+
+
+@query(f"WITH {T} SELECT type || '-' || dst_port AS type, count(*) AS n FROM t WHERE dst_port % 5 > 0 GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 30")
+def t7_busiest_unparsed(spark, folder):
+    events = events_of(spark, folder).withColumn("type", F.when(F.col("dst_port") % 5 > 0, F.concat_ws("-", "type", F.col("dst_port").cast("string"))).otherwise("known"))
+    return publish.busiest_unparsed(events, ("known",))
