@@ -1,13 +1,11 @@
 """Correlated sessions of all families to their nodes and edges.
 
-Every kind of node is one projection or explode of the sessions, so nodes and edges come from the same rows and an edge
+All kinds of nodes are structs of one explode of the sessions, which are read once, so nodes and edges come from the same rows and an edge
 never depends on which session first made a node. Repeated ones collapse in one group-by by id.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -30,70 +28,75 @@ def with_evidence(sessions: DataFrame) -> DataFrame:
     return out.withColumn("transcript", F.when(plain, text.process_line(F.col("commands"))))
 
 
-def _nodes(rows: DataFrame, kind: str, id_: Column, name: Column, score: Column | None = None, where: Column | None = None) -> DataFrame:
-    out = rows.select(id_.alias("id"), F.lit(kind).alias("kind"), name.cast("string").alias("name"), (F.lit(None) if score is None else score).cast("int").alias("score"), "first_seen", "last_seen")
-    return out.where(F.col("name").isNotNull() if where is None else where)
+def _node(kind: str, id_: Column, name: Column, score: Column | None = None) -> Column:
+    value = F.struct(id_.alias("id"), F.lit(kind).alias("kind"), name.cast("string").alias("name"), (F.lit(None) if score is None else score).cast("int").alias("score"))
+    return F.when(name.isNotNull(), value)
+
+
+def _edge(src: Column, kind: str, dst: Column, where: Column | None = None) -> Column:
+    value = F.struct(src.alias("src"), dst.alias("dst"), F.lit(kind).alias("kind"))
+    return value if where is None else F.when(where, value)
 
 
-def _each(sessions: DataFrame, column: str) -> DataFrame:
-    return sessions.select("src_ip", "score", "first_seen", "last_seen", F.explode(column).alias("x"))
+def _unfolded(sessions: DataFrame, single: list[Column], many: list[Column]) -> DataFrame:
+    """The fields of structs and of arrays of structs of each session, missing ones left out, in one pass over the sessions."""
+    lists = [F.coalesce(x, F.slice(F.array(single[0]), 1, 0)) for x in many]
+    return sessions.select("first_seen", "last_seen", F.explode(F.array_compact(F.concat(F.array(*single), *lists))).alias("__x")).select("__x.*", "first_seen", "last_seen")
 
 
 def observable_nodes(sessions: DataFrame) -> DataFrame:
     """id, kind, name, score and bounds of all nodes of sessions with evidence, one row for each id."""
-    ip, x = F.col("src_ip"), F.col("x")
+    ip, score, sure = F.col("src_ip"), F.col("score"), F.lit(85)
     names = F.create_map(*[F.lit(v) for pair in _TECHNIQUE_NAMES.items() for v in pair])
-    found = [
-        _nodes(sessions, "address", ids.address_id(ip), ip, F.col("score")),
-        _nodes(sessions, "indicator", ids.ip_indicator_id(ip), ip, F.col("score")),
-        _nodes(sessions, "sensor", ids.sensor_id(F.col("sensor")), F.col("sensor")),
-        _nodes(sessions, "country", ids.country_id(F.col("country")), F.col("country")),
-        _nodes(sessions, "network", ids.autonomous_system_id(F.col("asn")), F.col("asn")),
-        _nodes(sessions, "process", ids.process_id(F.col("transcript")), F.col("transcript")),
-        _nodes(_each(sessions, "hashes"), "file", ids.file_id(x), x, F.lit(85)),
-        _nodes(_each(sessions, "hashes"), "file-indicator", ids.file_indicator_id(x), x, F.lit(85)),
-        _nodes(_each(sessions, "urls"), "url", ids.url_id(x), x, F.col("score")),
-        _nodes(_each(sessions, "domains"), "domain", ids.domain_id(x), F.lower(x), F.col("score")),
-        _nodes(_each(sessions, "cves"), "vulnerability", ids.vulnerability_id(x), F.upper(x)),
-        _nodes(_each(sessions, "techniques"), "technique", ids.technique_id(F.try_element_at(names, x)), x),
-        _nodes(_each(sessions, "keys"), "ssh-key", ids.key_id(F.col("x.fingerprint")), F.col("x.fingerprint"), F.lit(85)),
-        _nodes(sessions, "fingerprint", ids.key_id(F.col("hassh")), F.col("hassh")),
-        _nodes(sessions, "fingerprint", ids.key_id(F.col("ja3")), F.col("ja3")),
+    single = [
+        _node("address", ids.address_id(ip), ip, score),
+        _node("indicator", ids.ip_indicator_id(ip), ip, score),
+        _node("sensor", ids.sensor_id(F.col("sensor")), F.col("sensor")),
+        _node("country", ids.country_id(F.col("country")), F.col("country")),
+        _node("network", ids.autonomous_system_id(F.col("asn")), F.col("asn")),
+        _node("process", ids.process_id(F.col("transcript")), F.col("transcript")),
+        _node("fingerprint", ids.key_id(F.col("hassh")), F.col("hassh")),
+        _node("fingerprint", ids.key_id(F.col("ja3")), F.col("ja3")),
     ]
-    return reduce(DataFrame.unionByName, found).groupBy("id").agg(
+    many = [
+        F.transform("hashes", lambda x: _node("file", ids.file_id(x), x, sure)),
+        F.transform("hashes", lambda x: _node("file-indicator", ids.file_indicator_id(x), x, sure)),
+        F.transform("urls", lambda x: _node("url", ids.url_id(x), x, score)),
+        F.transform("domains", lambda x: _node("domain", ids.domain_id(x), F.lower(x), score)),
+        F.transform("cves", lambda x: _node("vulnerability", ids.vulnerability_id(x), F.upper(x))),
+        F.transform("techniques", lambda x: _node("technique", ids.technique_id(F.try_element_at(names, x)), x)),
+        F.transform("keys", lambda x: _node("ssh-key", ids.key_id(x["fingerprint"]), x["fingerprint"], sure)),
+    ]
+    return _unfolded(sessions, single, many).groupBy("id").agg(
         F.min("kind").alias("kind"), F.min("name").alias("name"), F.max("score").alias("score"), F.min("first_seen").alias("first_seen"), F.max("last_seen").alias("last_seen")
     )
 
 
 def observable_edges(sessions: DataFrame) -> DataFrame:
     """id, src, dst, kind and bounds of all edges of sessions with evidence; edges onto themselves and repeats go."""
-    ip, x = F.col("src_ip"), F.col("x")
+    ip, transcript = F.col("src_ip"), F.col("transcript")
     address, indicator = ids.address_id(ip), ids.ip_indicator_id(ip)
     names = F.create_map(*[F.lit(v) for pair in _TECHNIQUE_NAMES.items() for v in pair])
-
-    def edge(rows: DataFrame, src: Column, kind: str, dst: Column, where: str | None = None) -> DataFrame:
-        rows = rows.where(where) if where else rows
-        return rows.select(src.alias("src"), dst.alias("dst"), F.lit(kind).alias("kind"), "first_seen", "last_seen")
-
-    hashes, urls, keys = _each(sessions, "hashes"), _each(sessions, "urls"), _each(sessions, "keys")
-    dropped = sessions.where("transcript is not null").select("transcript", "first_seen", "last_seen", F.explode("hashes").alias("x"))
-    found = [
-        edge(sessions, indicator, "based-on", address),
-        edge(sessions, address, "located-at", ids.country_id(F.col("country")), "country is not null"),
-        edge(sessions, address, "belongs-to", ids.autonomous_system_id(F.col("asn")), "asn is not null"),
-        edge(_each(sessions, "techniques"), indicator, "indicates", ids.technique_id(F.try_element_at(names, x))),
-        edge(_each(sessions, "cves"), indicator, "indicates", ids.vulnerability_id(x)),
-        edge(hashes, ids.file_indicator_id(x), "based-on", ids.file_id(x)),
-        edge(hashes, ids.file_id(x), "related-to", address),
-        edge(urls, ids.url_id(x), "related-to", address),
-        edge(keys, address, "related-to", ids.key_id(F.col("x.fingerprint"))),
-        edge(keys, indicator, "related-to", ids.key_id(F.col("x.fingerprint"))),
-        edge(sessions, ids.process_id(F.col("transcript")), "related-to", address, "transcript is not null"),
-        edge(dropped, ids.process_id(F.col("transcript")), "related-to", ids.file_id(x)),
-        edge(sessions, address, "related-to", ids.key_id(F.col("hassh")), "hassh is not null"),
-        edge(sessions, address, "related-to", ids.key_id(F.col("ja3")), "ja3 is not null"),
+    there = lambda c: F.col(c).isNotNull()
+    single = [
+        _edge(indicator, "based-on", address),
+        _edge(address, "located-at", ids.country_id(F.col("country")), there("country")),
+        _edge(address, "belongs-to", ids.autonomous_system_id(F.col("asn")), there("asn")),
+        _edge(ids.process_id(transcript), "related-to", address, there("transcript")),
+        _edge(address, "related-to", ids.key_id(F.col("hassh")), there("hassh")),
+        _edge(address, "related-to", ids.key_id(F.col("ja3")), there("ja3")),
+    ]
+    many = [
+        F.transform("techniques", lambda x: _edge(indicator, "indicates", ids.technique_id(F.try_element_at(names, x)))),
+        F.transform("cves", lambda x: _edge(indicator, "indicates", ids.vulnerability_id(x))),
+        F.transform("hashes", lambda x: _edge(ids.file_indicator_id(x), "based-on", ids.file_id(x))),
+        F.transform("hashes", lambda x: _edge(ids.file_id(x), "related-to", address)),
+        F.transform("hashes", lambda x: _edge(ids.process_id(transcript), "related-to", ids.file_id(x), there("transcript"))),
+        F.transform("urls", lambda x: _edge(ids.url_id(x), "related-to", address)),
+        F.transform("keys", lambda x: _edge(address, "related-to", ids.key_id(x["fingerprint"]))),
+        F.transform("keys", lambda x: _edge(indicator, "related-to", ids.key_id(x["fingerprint"]))),
     ]
-    merged = reduce(DataFrame.unionByName, found).where("src is not null and dst is not null and src <> dst")
+    merged = _unfolded(sessions, single, many).where("src is not null and dst is not null and src <> dst")
     merged = merged.groupBy("src", "dst", "kind").agg(F.min("first_seen").alias("first_seen"), F.max("last_seen").alias("last_seen"))
     return merged.select(ids.relationship_id(F.col("src"), F.col("dst"), F.col("kind")).alias("id"), "src", "dst", "kind", "first_seen", "last_seen")
 
