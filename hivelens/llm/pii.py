@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from hivelens.llm.common import whole_text
 
 #: Order of the kinds in every result.
-KINDS = ("email", "ip", "card", "phone", "iban")
+KINDS = ("email", "ip", "card", "phone", "iban", "ssn")
 
 # Each pattern begins only where a run of its first class begins or where the match before ended, and takes such runs
 # whole: that finds the same leftmost matches as the plain pattern without trying each place inside a run.
@@ -16,9 +16,10 @@ _EMAIL = r"(?:(?<![A-Za-z0-9._%+-])|\G)[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-
 _IP = r"(?:(?<![0-9])|\G)[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++"
 _CARD = r"[0-9](?:[ -]?[0-9])++"
 _PHONE = r"\+[0-9][ ().0-9-]+[0-9]"
-#: Cards inside longer runs of digits, and account numbers; these come on top of the plain ones.
+#: Cards inside longer runs of digits, account numbers and social security numbers; these come on top of the plain ones.
 _CARD_INSIDE = r"(?<![0-9])[0-9]{4}(?:[ -]?[0-9]{4}){3}(?:[0-9]{1,3})?(?![0-9])"
 _IBAN = r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])"
+_SSN = r"(?<![0-9A-Za-z.-])(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}(?![0-9A-Za-z]|[.-][0-9])"
 
 #: Words that raise the score of a kind when they stand shortly before or after.
 CONTEXT = {
@@ -27,9 +28,12 @@ CONTEXT = {
     "card": "card|visa|credit|payment|master",
     "phone": "phone|tel|call|fax|mobile|contact",
     "iban": "iban|account|bank|transfer",
+    "ssn": r"\bssn\b|social security|taxpayer|\btax id",
 }
-BASE_SCORE = {"email": 0.8, "ip": 0.6, "card": 0.8, "phone": 0.6, "iban": 0.8}
+#: A kind without a checksum of its own starts under LEAST_SCORE: only words nearby admit its spans.
+BASE_SCORE = {"email": 0.8, "ip": 0.6, "card": 0.8, "phone": 0.6, "iban": 0.8, "ssn": 0.4}
 CONTEXT_BONUS = 0.2
+LEAST_SCORE = 0.5
 CONTEXT_CHARS = 48
 
 
@@ -77,10 +81,15 @@ _RULES = (
     ("phone", True, _PHONE, lambda t: F.contains(t, F.lit("+")), lambda x: F.length(_digits(x)).between(8, 15)),
     ("card", False, _CARD_INSIDE, lambda t: t.rlike("[0-9]{4}[ -]?[0-9]"), _card_ok),
     ("iban", False, _IBAN, lambda t: t.rlike("[A-Z]{2}[0-9]{2}"), lambda x: mod97(F.regexp_replace(x, " ", ""))),
+    ("ssn", False, _SSN, lambda t: t.rlike("[0-9]-[0-9]{2}-[0-9]"), lambda x: F.lit(True)),
 )
 _SPAN = "array<struct<kind:string,start:int,end:int,value:string,score:double,plain:boolean>>"
 
 
+#: Spans that one inner fold handles: an append copies its list, so lists stay short and are joined at the end.
+_FOLD = 256
+
+
 def _starts(hit: str, gap: str) -> Column:
     """Where each match starts, from the lengths of what stands between matches and of the matches before."""
     start = lambda acc, k: acc["at"] + F.length(F.get(gap, k))
@@ -89,8 +98,15 @@ def _starts(hit: str, gap: str) -> Column:
         return F.struct((start(acc, k) + F.length(F.get(hit, k))).alias("at"), F.array_append(acc["starts"], start(acc, k)).alias("starts"))
 
     none = F.array().cast("array<int>")
-    folded = F.aggregate(F.sequence(F.lit(0), F.size(hit) - 1), F.struct(F.lit(0).alias("at"), none.alias("starts")), step)
-    return F.when(F.size(hit) > 0, folded["starts"]).otherwise(none)
+    last = F.size(hit) - 1
+
+    def part(acc: Column, first: Column) -> Column:
+        inner = F.aggregate(F.sequence(first, F.least(first + (_FOLD - 1), last)), F.struct(acc["at"].alias("at"), none.alias("starts")), step)
+        return F.transform(F.array(inner), lambda x: F.struct(x["at"].alias("at"), F.array_append(acc["parts"], x["starts"]).alias("parts")))[0]
+
+    begin = F.struct(F.lit(0).alias("at"), F.array().cast("array<array<int>>").alias("parts"))
+    folded = F.aggregate(F.sequence(F.lit(0), last, F.lit(_FOLD)), begin, part, lambda acc: F.flatten(acc["parts"]))
+    return F.when(F.size(hit) > 0, folded).otherwise(none)
 
 
 def _spans(kind: str, plain: bool, hit: str, gap: str, check, place: str, min_score: float) -> Column:
@@ -109,13 +125,14 @@ def _has_kind(kind: str):
     return lambda s: s["kind"] == kind
 
 
-def find_pii(docs: DataFrame, text: str = "text", min_score: float = 0.0) -> DataFrame:
+def find_pii(docs: DataFrame, text: str = "text", min_score: float = LEAST_SCORE) -> DataFrame:
     """docs with pii: spans (kind, start, end, value, score, plain) of each whole text, by kind as listed, then start.
 
     start and end count code points, end exclusive. plain marks spans of the four plain patterns; others are card
-    numbers inside longer runs of digits and account numbers (IBAN). Checks: parts of an address at most 255, Luhn for
+    numbers inside longer runs of digits, account numbers (IBAN) and social security numbers. Checks: parts of an address at most 255, Luhn for
     cards of 16 to 19 digits, 8 to 15 digits of a phone number, mod 97 for accounts. A score is that of its kind plus
-    CONTEXT_BONUS where a word of CONTEXT stands within CONTEXT_CHARS; spans under min_score go. A missing or empty text
+    CONTEXT_BONUS where a word of CONTEXT stands within CONTEXT_CHARS; spans under min_score go, so a social security
+    number, which no checksum confirms, counts only beside such words. A missing or empty text
     has an empty list. Rows are independent, so missing and repeated ids and ties don't matter; an input column named
     pii gives way. Time is linear in a text's length, memory follows it, and an empty table stays empty.
     """
@@ -136,7 +153,7 @@ def find_pii(docs: DataFrame, text: str = "text", min_score: float = 0.0) -> Dat
     inside = F.filter(per[4], lambda s: ~F.exists(F.col(per[2]), lambda b: (b["start"] == s["start"]) & (b["end"] == s["end"])))
     by_start = lambda x: F.array_sort(x, lambda a, b: F.when(a["start"] < b["start"], -1).when(a["start"] > b["start"], 1).otherwise(a["end"] - b["end"]))
     cards = F.when(F.size(per[4]) > 0, by_start(F.concat(per[2], inside))).otherwise(F.col(per[2]))
-    return out.select(*[F.col(f"`{c}`") for c in docs.columns if c.lower() != "pii"], F.concat(per[0], per[1], cards, per[3], per[5]).alias("pii"))
+    return out.select(*[F.col(f"`{c}`") for c in docs.columns if c.lower() != "pii"], F.concat(per[0], per[1], cards, per[3], per[5], per[6]).alias("pii"))
 
 
 def spans_text(spans: Column) -> Column:
@@ -144,7 +161,7 @@ def spans_text(spans: Column) -> Column:
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
-def redact(docs: DataFrame, text: str = "text", min_score: float = 0.5) -> DataFrame:
+def redact(docs: DataFrame, text: str = "text", min_score: float = LEAST_SCORE) -> DataFrame:
     """docs with each span of personal data in the text replaced by its kind in square brackets.
 
     Spans that overlap one before them are covered by its mark. Missing texts stay missing; other columns stay.

@@ -193,3 +193,18 @@ def test_pii_extra_spans_scores_and_redaction(spark):
     assert hidden[0] is None and hidden[1] == "" and hidden[4] == TEXTS[4]
     assert "[CARD]" in hidden[7] and "4918187128635271" not in hidden[7]
     assert find_pii(empty(spark)).count() == redact(empty(spark)).count() == 0
+
+
+def test_pii_words_nearby_admit_a_kind_without_checksum(spark):
+    texts = ["My SSN is 219-09-9999.", "Part 219-09-9999 ships.", "SSN 000-12-3456, 666-12-3456, 900-12-3456, 123-00-4567, 123-45-0000", "social security: 219-09-9999-1", "classn 219-09-9999"]
+    rows = find_pii(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).orderBy("doc_id").collect()
+    assert [[(s.kind, s.start, s.end, s.score, s.plain) for s in r.pii] for r in rows] == [[("ssn", 10, 21, 0.6, False)], [], [], [], []]
+    low = find_pii(spark.createDataFrame([(1, texts[1])], "doc_id long, text string"), min_score=0.0).first()
+    assert [(s.kind, s.score) for s in low.pii] == [("ssn", 0.4)]
+
+
+def test_pii_places_of_very_many_spans(spark):
+    for n in (255, 256, 257, 3000):
+        text = "".join(f"é a{i}@b.c," for i in range(n))
+        spans = find_pii(spark.createDataFrame([(1, text)], "doc_id long, text string")).first().pii
+        assert [(s.start, s.end) for s in spans] == [m.span() for m in re.finditer(r"a\d+@b\.c", text)]
