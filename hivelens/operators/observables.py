@@ -18,11 +18,12 @@ def with_evidence(sessions: DataFrame) -> DataFrame:
     """sessions (see correlate) with score, valid_days, techniques, domains, a command transcript and URLs that hold."""
     n = F.size
     signal = scoring.signal_score(F.col("auth_success"), n("commands"), n("hashes"), n("credentials"))
-    out = sessions.withColumn("score", scoring.ip_score(signal, F.col("reputation"), F.lit(False)))
+    out = sessions.withColumn("score", scoring.ip_score(signal, F.col("reputation"), F.coalesce("ics.write", F.lit(False))))
     out = out.withColumn("valid_days", scoring.validity_days(F.col("score")))
     shown = scoring.techniques(F.col("family"), F.col("auth_success"), n("commands"), n("hashes"), n("credentials"), n("keys"), n("ports"))
     out = out.withColumn("techniques", shown).withColumn("urls", F.filter("urls", text.valid_url))
-    hosts = F.array_distinct(F.transform("urls", text.url_host))
+    hosts = F.array_distinct(F.concat(F.transform("urls", text.url_host), F.array_compact(F.transform("jndi", lambda x: x["host"]))))
+    out = out.withColumn("urls", F.array_distinct(F.concat("urls", F.transform("jndi", lambda x: x["url"]))))
     out = out.withColumn("domains", F.filter(hosts, text.valid_domain))
     plain = (n("commands") > 0) & ~text.recon_only(F.col("commands"))
     return out.withColumn("transcript", F.when(plain, text.process_line(F.col("commands"))))

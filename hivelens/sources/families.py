@@ -12,7 +12,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hivelens.functions import text
+from hivelens.functions import ics, ports, text, web
 from hivelens.functions.network import canonical_ip, is_ipv4
 
 
@@ -53,7 +53,7 @@ FAMILIES = (
     Family("Tanner", protocol="http", port=80, fields={**_WEB, "path": ("path", "url"), "attack": ("response_msg.response.message.detection.name", "attack_type")}),
     Family("Redishoneypot", protocol="redis", port=6379, fields={"command": ("action", "msg")}),
     Family("Router", "all", fields={"session": ("session_id", "session", "connection_id"), "command": ("command",)}),
-    Family("Mailoney", "any", protocol="smtp", port=25, fields={"session": ("session_id",), "command": ("data",), "username": ("auth_user",), "password": ("auth_pass",)}),
+    Family("Mailoney", "any", protocol="smtp", port=25, fields={"session": ("session_id",), "username": ("auth_user",), "password": ("auth_pass",)}),
     Family("Sentrypeer", protocol="sip", port=5060, fields={"method": ("sip_method", "method"), "called": ("called_number",), "user_agent": ("sip_user_agent",), "payload": ("sip_message",)}),
     Family("Fatt", "gap", fields={"hassh": ("fatt_ssh.hassh", "fatt_ssh.hasshServer", "hassh"), "ja3": ("fatt_tls.ja3", "ja3"), "ja3s": ("fatt_tls.ja3s", "ja3s"), "ssh_version": ("fatt_ssh.client", "fatt_ssh.server")}),
     Family("Adbhoney", protocol="adb", port=5555, fields={"session": ("session",), "command": ("command", "input"), "sha256": ("data_sha256", "shasum")}),
@@ -67,6 +67,8 @@ FAMILIES = (
     Family("Medpot", protocol="hl7", port=2575, fields={"command": ("msg_type", "message"), "payload": ("data",)}),
 )
 FALLBACK = "fallback"
+# Names of protocols that industrial sensors spell in another way.
+INDUSTRIAL_NAMES = {"kamstrup_protocol": "kamstrup", "kamstrup_meter": "kamstrup", "kamstrup_management_protocol": "kamstrup-management"}
 _STRINGS = tuple(dict.fromkeys(c for f in FAMILIES for c in f.fields))
 
 
@@ -138,6 +140,7 @@ def normalise(docs: DataFrame) -> DataFrame:
     )
     ssh = F.when(F.col("family") == "Cowrie", F.when(F.coalesce(F.col("dst_port"), F.lit(22)).isin(22, 2222), "ssh").otherwise("telnet"))
     out = out.withColumn("protocol", F.lower(F.coalesce(ssh, "own_protocol", "said_protocol"))).drop("own_protocol", "said_protocol")
+    out = out.withColumn("protocol", F.when(F.col("family") == "ConPot", F.coalesce(F.try_element_at(F.create_map(*map(F.lit, sum(INDUSTRIAL_NAMES.items(), ()))), F.col("protocol")), "protocol")).otherwise(F.col("protocol")))
     out = out.withColumn("src_ip", canonical_ip(F.col("raw_ip")))
     out = out.withColumn("login_ok", F.coalesce(F.col("event").isin("cowrie.login.success"), F.lit(False)))
     sha = F.lower("sha256")
@@ -151,6 +154,41 @@ def normalise(docs: DataFrame) -> DataFrame:
     return out.where(keep).drop("has_alert")
 
 
+def signals(events: DataFrame) -> DataFrame:
+    """events with what only some families tell, read from doc: requests (mail verbs, industrial requests), mail_bytes, ntlm,
+    the URL and host that a request named, credentials in a body, industrial findings, and jndi (see jndi_events).
+
+    A missing field leaves its column missing or its list empty.
+    """
+    family = F.col("family")
+    of = lambda name, value: F.when(family == name, value)
+    is_text = lambda v: F.schema_of_variant(v) == "STRING"
+    said = F.try_variant_get("doc", "$.commands", "variant")
+    each = F.coalesce(F.try_variant_get("doc", "$.commands", "array<variant>"), F.array(said))
+    lines = F.transform(F.filter(each, is_text), lambda v: F.try_variant_get(v, "$", "string"))
+    verbs = F.filter(F.transform(lines, web.mail_verb), lambda v: v != "")
+    host, path = F.col("host_header"), F.coalesce("path", F.lit(""))
+    scheme = F.when(F.col("dst_port").isin(443, 8443), "https://").otherwise("http://")
+    named = F.when(host.isNotNull() & (path != ""), F.concat(scheme, host, F.when(path.startswith("/"), "").otherwise("/"), path)).when(path.rlike("^https?://"), path)
+    bare_host = F.split_part(host, F.lit(":"), F.lit(1))
+    response = F.trim(_get("nt_response"))
+    capture = F.struct(
+        response.alias("response"), F.nullif(F.regexp_extract(_get("message"), r"hashcat:\s*'([^']+)'", 1), F.lit("")).alias("line"),
+        ports.ntlm_target_name(of("RDPHoneypot", response)).alias("target"), F.trim("username").alias("username"),
+        F.coalesce(F.nullif(F.trim(_get("domain")), F.lit("")), F.nullif(F.trim(_get("derived_domain")), F.lit(""))).alias("domain"), F.coalesce(F.trim(_get("auth_method")), F.lit("unknown")).alias("method"),
+    )
+    out = events if "jndi" in events.columns else jndi_events(events)
+    return out.withColumns({
+        "requests": of("Mailoney", verbs).when(family == "ConPot", F.array_compact(F.array("body"))),
+        "mail_bytes": of("Mailoney", F.length(_get("data"))),
+        "ntlm": of("RDPHoneypot", F.when(F.length(response) > 0, capture)),
+        "request_url": of("H0neytr4p", named),
+        "request_host": of("H0neytr4p", F.when(F.contains(bare_host, F.lit(".")) & ~bare_host.rlike("^[0-9.]+$"), bare_host)),
+        "body_credentials": of("Galah", web.body_credentials(F.col("body"), F.col("method"))),
+        "finding": of("ConPot", ics.ics_finding(F.col("protocol"), F.col("body"))),
+    })
+
+
 def jndi_events(events: DataFrame) -> DataFrame:
     """events with jndi: look-up payloads in the address, path, body, agent, host header, and each top-level string of doc."""
     named = F.array("raw_ip", "path", "body", "user_agent", "host_header")

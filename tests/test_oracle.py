@@ -7,6 +7,7 @@ import duckdb
 import pytest
 
 import hivelens.plans.document_queries  # noqa: F401
+import hivelens.plans.function_queries  # noqa: F401
 import hivelens.plans.queries  # noqa: F401
 from hivelens.plans.registry import ORACLE, QUERIES
 
