@@ -169,14 +169,27 @@ def redact(docs: DataFrame, text: str = "text", min_score: float = LEAST_SCORE)
     found = find_pii(docs.select(*[F.col(f"`{c}`") for c in docs.columns]), text, min_score)
     order = F.array_sort("pii", lambda a, b: F.when(a["start"] < b["start"], -1).when(a["start"] > b["start"], 1).otherwise(b["end"] - a["end"]))
 
-    def step(acc: Column, s: Column) -> Column:
-        new = F.concat(F.substring(F.col(text), acc["at"] + 1, s["start"] - acc["at"]), F.lit("["), F.upper(s["kind"]), F.lit("]"))
-        return F.when(s["start"] < acc["at"], F.struct(F.greatest(acc["at"], s["end"]).alias("at"), acc["parts"].alias("parts"))).otherwise(
-            F.struct(s["end"].alias("at"), F.array_append(acc["parts"], new).alias("parts"))
-        )
-
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("parts"))
-    done = F.aggregate(order, start, step, lambda acc: F.concat(F.array_join(acc["parts"], ""), F.substring(F.col(text), acc["at"] + 1, F.length(text))))
+    state = lambda at, parts: F.struct(at.alias("at"), parts.alias("parts"))
+    none = F.array().cast("array<string>")
+
+    def part(acc: Column, first: Column) -> Column:
+        # The stretch of the text that these spans reach; places are taken within it.
+        spans = F.slice(F.col("pii"), first + 1, F.lit(_FOLD))
+        upto = F.greatest(acc["at"], F.array_max(F.transform(spans, lambda x: x["end"])))
+        stretch = F.struct(spans.alias("spans"), acc["at"].alias("base"), F.substring(F.col(text), acc["at"] + 1, upto - acc["at"]).alias("text"))
+
+        def within(z: Column) -> Column:
+            def step(inner: Column, x: Column) -> Column:
+                new = F.concat(F.substring(z["text"], inner["at"] - z["base"] + 1, x["start"] - inner["at"]), F.lit("["), F.upper(x["kind"]), F.lit("]"))
+                return F.when(x["start"] < inner["at"], state(F.greatest(inner["at"], x["end"]), inner["parts"])).otherwise(state(x["end"], F.array_append(inner["parts"], new)))
+
+            return F.aggregate(z["spans"], state(z["base"], none), step, lambda inner: state(inner["at"], F.array_append(acc["parts"], F.array_join(inner["parts"], ""))))
+
+        return F.transform(F.array(stretch), within)[0]
+
+    firsts = F.sequence(F.lit(0), F.size("pii") - 1, F.lit(_FOLD))
+    done = F.aggregate(firsts, state(F.lit(0), none), part, lambda acc: F.concat(F.array_join(acc["parts"], ""), F.substring(F.col(text), acc["at"] + 1, F.length(text))))
+    found = found.withColumn("pii", order)
     columns = [F.when(F.size("pii") > 0, done).otherwise(F.col(text)).alias(c) if c == text else F.col(f"`{c}`") for c in docs.columns]
     return found.select(*columns)
 

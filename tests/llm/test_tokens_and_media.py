@@ -208,3 +208,18 @@ def test_pii_places_of_very_many_spans(spark):
         text = "".join(f"é a{i}@b.c," for i in range(n))
         spans = find_pii(spark.createDataFrame([(1, text)], "doc_id long, text string")).first().pii
         assert [(s.start, s.end) for s in spans] == [m.span() for m in re.finditer(r"a\d+@b\.c", text)]
+
+
+def test_redaction_against_a_plain_one(spark):
+    rng = random.Random(5)
+    bits = ["x@y.z", "card 4111 1111 1111 1111", "1 4111 1111 1111 1111", "192.168.0.1", "+44 20 7946 0958", "é😀", " ", ", ", "SSN 219-09-9999", "0"]
+    texts = ["".join(rng.choice(bits) for _ in range(n)) for n in [1, 5, 40] * 20 + [3000, 6000]] + ["a@b.c " * 256, "a@b.c " * 257, "", None]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    hidden = {r.doc_id: r.text for r in redact(df).collect()}
+    for r in find_pii(df).collect():
+        out, at = [], 0
+        for s in sorted(r.pii, key=lambda s: (s.start, -s.end)):
+            if s.start >= at:
+                out.append(r.text[at : s.start] + f"[{s.kind.upper()}]")
+            at = max(at, s.end)
+        assert hidden[r.doc_id] == (None if r.text is None else "".join(out) + r.text[at:])
