@@ -2,19 +2,21 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hivelens.functions.network import hostname_suffix, ipv4_number
 
 
-def cidr_join(addresses: DataFrame, nets: DataFrame, ip: str = "src_ip") -> DataFrame:
+def cidr_join(addresses: DataFrame, nets: DataFrame, ip: str = "src_ip", number: Column | None = None) -> DataFrame:
     """Addresses with every network (columns lo and hi, see network_table) that holds them.
 
+    number: the addresses as numbers, where they are known; else they are worked out from the text in ip.
+
     Networks are filed under the first octets they reach, an equi-join key, so no address meets all networks.
     """
     filed = nets.withColumn("__octet", F.explode(F.sequence(F.expr("lo div 16777216"), F.expr("hi div 16777216"))))
-    numbered = addresses.withColumn("__n", ipv4_number(F.col(ip))).withColumn("__octet", F.expr("__n div 16777216"))
+    numbered = addresses.withColumn("__n", ipv4_number(F.col(ip)) if number is None else number).withColumn("__octet", F.expr("__n div 16777216"))
     return numbered.join(filed, "__octet").where("__n between lo and hi").drop("__n", "__octet")
 
 

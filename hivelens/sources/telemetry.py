@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from hivelens.functions.network import ipv4_number
+
 #: Common columns of every normalised event.
 EVENT = T.StructType(
     [
@@ -44,5 +46,35 @@ def derive_events(events: DataFrame) -> DataFrame:
     )
 
 
+#: 198.51.0.0, from which derived addresses are counted.
+_FIRST = (198 * 256 + 51) * 65536
+
+
+def _div(a: Column, b: int) -> Column:
+    return F.call_function("div", a, F.lit(b))
+
+
+def user_number(user_id: Column) -> Column:
+    """The number of the address that a user stands for: 250 to each /24 from 198.51.0.0 on.
+
+    For users 0 to 63,999 it is that of derive_events' src_ip. Others get a src_ip with a third part over 255 (or a sign),
+    which is no address, while the count goes on into 198.52.0.0.
+    """
+    return F.lit(_FIRST) + _div(user_id, 250) * 256 + user_id % 250
+
+
+def user_address(user_id: Column) -> Column:
+    """user_number as a dotted address, missing where there is none."""
+    n = user_number(user_id)
+    part = lambda shift: F.shiftright(n, shift).bitwiseAND(255).cast("string")
+    return F.when(n.between(0, 2**32 - 1), F.concat_ws(".", part(24), part(16), part(8), part(0)))
+
+
+def address_name(address: Column) -> Column:
+    """The src_ip that derive_events gives the user of an address, see user_address."""
+    n = ipv4_number(address) - _FIRST
+    return F.concat(F.lit("198.51."), _div(n, 256), F.lit("."), n % 256)
+
+
 def events_of(spark: SparkSession, folder: str) -> DataFrame:
     return derive_events(read_table(spark, folder, "events"))
