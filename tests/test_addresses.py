@@ -4,7 +4,7 @@ import duckdb
 import pytest
 from pyspark.sql import functions as F
 
-from hivelens.plans import queries  # noqa: F401
+from hivelens.plans import function_queries, queries  # noqa: F401
 from hivelens.plans.registry import ORACLE, QUERIES
 from hivelens.sources.telemetry import address_name, derive_events, user_address
 
@@ -45,3 +45,8 @@ def test_networks_of_users_beyond_a_16(spark, many_users):
 
 def test_first_network_of_users_beyond_a_16(spark, many_users):
     assert ("198.51.359.249", "d") in same_as_sql(spark, many_users, "j2_first_network")
+
+
+def test_family_sessions_of_users_beyond_a_16(spark, many_users):
+    found = same_as_sql(spark, many_users, "c7_family_sessions")
+    assert {"198.51.256.0", "198.51.359.249"} <= {r[1] for r in found}
