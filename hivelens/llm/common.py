@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import functools
+import inspect
 import os
 import sys
 import tempfile
@@ -74,6 +78,33 @@ def ship_package(spark: SparkSession) -> None:
     sys.path[:] = [p for p in sys.path if p != target]
 
 
+def release() -> None:
+    """Gives what this process has freed back to the system: Python workers outlive their tasks and keep it otherwise."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # not every C library can
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+def frugal(f: Callable) -> Callable:
+    """f, a function of a task's batches or of a group's table, with release() at its end."""
+
+    @functools.wraps(f)
+    def batches_(batches):
+        try:
+            yield from f(batches)
+        finally:
+            release()
+
+    @functools.wraps(f)
+    def table_(table):
+        try:
+            return f(table)
+        finally:
+            release()
+
+    return batches_ if inspect.isgeneratorfunction(f) else table_
+
+
 def appended(
     docs: DataFrame,
     make: Callable[[], Callable[[pa.RecordBatch], dict[str, pa.Array]]],
@@ -96,7 +127,7 @@ def appended(
                 [*batch.columns, *(new[x.name] for x in fields)], [*batch.schema.names, *(x.name for x in fields)]
             )
 
-    return base.mapInArrow(run, schema)
+    return base.mapInArrow(frugal(run), schema)
 
 
 def texts_of(batch: pa.RecordBatch, column: str = "text") -> list[bytes]:

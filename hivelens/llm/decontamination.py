@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hivelens.llm.common import ship_package, stage_table, texts_of, whole_text
+from hivelens.llm.common import frugal, ship_package, stage_table, texts_of, whole_text
 from hivelens.llm.scan import mix, span_hashes
 
 WINDOW = 8
@@ -173,7 +173,7 @@ def _windows(df: DataFrame, name: str, widths, shared, whole_only: bool) -> Data
                     yield rows
                 i = j
 
-    return df.mapInArrow(run, f"{name} long, blind boolean, n int, {_WINDOW_FIELDS}")
+    return df.mapInArrow(frugal(run), f"{name} long, blind boolean, n int, {_WINDOW_FIELDS}")
 
 
 def find_contamination(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE, most_broadcast: int = MOST_BROADCAST) -> DataFrame:

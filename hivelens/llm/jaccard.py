@@ -28,7 +28,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from hivelens.llm.common import ship_package, stage_table, texts_of, total_bytes, whole_text
+from hivelens.llm.common import frugal, ship_package, stage_table, texts_of, total_bytes, whole_text
 from hivelens.llm.scan import Words, mix, shingles
 
 #: Text of a chunk, and of all chunks for each part of the shingles.
@@ -223,10 +223,10 @@ def survey(docs: DataFrame, width: int, percent: int, part_bytes: int = PART_BYT
         as_keys = lambda rows, use: pa.array([r.tobytes() if u else None for r, u in zip(rows, use)], pa.binary())
         return pa.table({"doc_id": pa.array(ids, pa.int64()), "n": size.astype(np.int64), "node": as_keys(key, size > 0), "core": pa.array(core, pa.binary()), "core_key": as_keys(keys, alive), "k": k.astype(np.int64)} | columns)
 
-    sent = docs.mapInArrow(send, "chunk long, part int, table boolean, data binary")
-    counted = sent.repartition(parts, "part").groupBy("part").applyInArrow(count, "chunk long, table boolean, data binary")
+    sent = docs.mapInArrow(frugal(send), "chunk long, part int, table boolean, data binary")
+    counted = sent.repartition(parts, "part").groupBy("part").applyInArrow(frugal(count), "chunk long, table boolean, data binary")
     parities = ", ".join(f"s{j} long" for j in range(PARITIES))
-    return counted.repartition(chunks, "chunk").groupBy("chunk").applyInArrow(gather, f"doc_id long, n long, node binary, core binary, core_key binary, k long, {parities}")
+    return counted.repartition(chunks, "chunk").groupBy("chunk").applyInArrow(frugal(gather), f"doc_id long, n long, node binary, core binary, core_key binary, k long, {parities}")
 
 
 def similar_components(docs: DataFrame, width: int = 5, percent: int = 75, few_pairs: int = FEW_PAIRS, local_links: int = LOCAL_LINKS, part_bytes: int = PART_BYTES, chunk_bytes: int = CHUNK_BYTES) -> DataFrame:
@@ -266,7 +266,7 @@ def similar_components(docs: DataFrame, width: int = 5, percent: int = 75, few_p
                 names += [node] * size
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(tokens)), pa.array(names, pa.binary()), pa.array(np.concatenate(places)).cast(pa.int32())], ["token", "node", "pos"])
 
-    prefix = stage_table(nodes.select("node", "n", "k", "core").mapInArrow(prefixes, "token long, node binary, pos int"), "prefixes")
+    prefix = stage_table(nodes.select("node", "n", "k", "core").mapInArrow(frugal(prefixes), "token long, node binary, pos int"), "prefixes")
     # Lists of the same nodes say the same: the first of their shingles stands for them.
     lists = prefix.groupBy("token").agg(F.count("*").alias("c"), F.min(F.struct("node", "pos")).alias("a"), F.max("node").alias("b"), F.sum(F.xxhash64("node").cast("decimal(20,0)")).alias("key"))
     lists = lists.where("c > 1").groupBy("a.node", "b", "key", "c").agg(F.min(F.struct("a.pos", "token")).alias("t")).select("t.token")
@@ -326,7 +326,7 @@ def similar_components(docs: DataFrame, width: int = 5, percent: int = 75, few_p
         if compared is not None:
             pairs = pairs.join(compared, ["x", "y"], "left_anti")
         side = lambda s: nodes.select(F.col("node").alias(s), F.col("n").alias(f"{s}_n"), F.col("core").alias(f"{s}_core"))
-        verdict = stage_table(pairs.join(side("y"), "y").join(side("x"), "x").mapInArrow(verify, "x binary, y binary, linked boolean"), "verdicts")
+        verdict = stage_table(pairs.join(side("y"), "y").join(side("x"), "x").mapInArrow(frugal(verify), "x binary, y binary, linked boolean"), "verdicts")
         compared = verdict.select("x", "y") if compared is None else compared.unionByName(verdict.select("x", "y"))
         new = verdict.where("linked").select("x", "y")
         links = new if links is None else links.unionByName(new)
@@ -394,7 +394,7 @@ def connected(links: DataFrame, local_links: int = LOCAL_LINKS) -> DataFrame:
                 some = names[i : i + 65_536]
                 yield pa.RecordBatch.from_arrays([pa.array(some, type_), pa.array([root(a) for a in some], type_)], ["node", "comp"])
 
-        return stage_table(links.coalesce(1).mapInArrow(union, f"node {kind}, comp {kind}"), "comp")
+        return stage_table(links.coalesce(1).mapInArrow(frugal(union), f"node {kind}, comp {kind}"), "comp")
     edges = stage_table(links.distinct(), "edges")
     comp = None
     while True:
